@@ -5,13 +5,15 @@ character, so merges never cross from one word to the next: each word with the s
 itself. Within a word an agenda gives the best merge first, and a keyed hash of (seed, variant, place, pair)
 decides whether that candidate is skipped. Each occurrence of a word takes one of VARIANTS variants by a keyed
 hash of its place, so that a frequent word has several segmentations, each of which a worker computes only once.
+
+A batch of texts is cut into words with numpy; distinct words that the worker has not met are segmented together,
+one merge of each per step; segmentations are put together from a pool of ids, decoded and compared with the text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import mixed, sliced
+from quillspark.llm.common import mixed, run_hashes, sliced, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-UNIT = re.compile(r" *[^ ]+| +")
 DROPOUT, SEED, VARIANTS = 0.1, 20_240_501, 4
-#: A worker's table of segmented words has two generations; when the young one has so many, the old one goes.
-KNOWN_WORDS = 200_000
+#: A worker forgets the words it has met when it knows so many, or so many ids of them.
+KNOWN_WORDS, KNOWN_IDS = 600_000, 8_000_000
+#: Words of up to so many characters are segmented together with those that fit the same width.
+WIDTHS = (9, 13, 20, 40)
+PLACE, BASE = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
 M64 = (1 << 64) - 1
 
 
@@ -47,6 +51,7 @@ class Vocabulary:
         self.score = {self.pieces[i]: -model.get_score(i) for i in plain}
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece has a space inside; words can't be segmented one by one")
+        self.size = n
         self.raw = [b""] * n
         for i in plain:
             self.raw[i] = self.pieces[i].replace(SPACE, " ").encode()
@@ -66,7 +71,7 @@ def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int =
     score, n = vocabulary.score, len(symbols)
     before, after = list(range(-1, n - 1)), [*range(1, n), -1]
     agenda: list[tuple[float, int, int, str]] = []
-    bar, key = int(dropout * (1 << 64)), scramble((seed * 0x9E3779B97F4A7C15 + variant + 1) & M64)
+    bar, key = int(dropout * (1 << 64)), scramble((seed * BASE + variant + 1) & M64)
     for i in range(n - 1):
         if (rank := score.get(pair := symbols[i] + symbols[i + 1])) is not None:
             agenda.append((rank, i, i + 1, pair))
@@ -75,7 +80,7 @@ def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int =
         rank, i, j, pair = heapq.heappop(agenda)
         if symbols[i] is None or symbols[j] is None or after[i] != j or symbols[i] + symbols[j] != pair:
             continue  # a part has been merged since
-        if bar and scramble(key ^ (i * 0xD6E8FEB86659FD93 + vocabulary.ids[pair]) & M64) < bar:
+        if bar and scramble(key ^ (i * PLACE + vocabulary.ids[pair]) & M64) < bar:
             continue
         symbols[i], symbols[j] = pair, None
         after[i] = k = after[j]
@@ -96,64 +101,203 @@ def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int =
     return out
 
 
+class Tables:
+    """The vocabulary as arrays: ids of characters, merges by pair, ranks, and the bytes of the pieces."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for piece, i in vocabulary.ids.items():
+            if len(piece) == 1 and piece != SPACE:
+                self.of_char[ord(piece)] = i
+        self.of_char[32] = vocabulary.ids[SPACE]
+        self.size = vocabulary.size
+        merges = sorted(
+            (vocabulary.ids[p[:k]] * self.size + vocabulary.ids[p[k:]], i)
+            for p, i in vocabulary.ids.items() for k in range(1, len(p)) if p[:k] in vocabulary.ids and p[k:] in vocabulary.ids
+        )
+        self.pairs, self.merged = np.array([m[0] for m in merges], np.int64), np.array([m[1] for m in merges], np.int64)
+        self.rank = np.zeros(self.size)
+        for piece, i in vocabulary.ids.items():
+            self.rank[i] = vocabulary.score[piece]
+        self.raw = np.frombuffer(b"".join(vocabulary.raw), np.uint8)
+        self.raw_n = np.array([len(r) for r in vocabulary.raw], np.int64)
+        self.raw_at = np.cumsum(self.raw_n) - self.raw_n
+
+    def segment(self, symbols: np.ndarray, keys: np.ndarray, bar: int) -> np.ndarray:
+        """As the function segment, for all rows of character ids (ended by -1) at once; rows of piece ids, ended by -1."""
+        n, width = symbols.shape
+        start = np.tile(np.arange(width, dtype=np.uint64), (n, 1))
+
+        def candidates(left: np.ndarray, right: np.ndarray, at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            pair = left.astype(np.int64) * self.size + right
+            found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            good = (self.pairs[found] == pair) & (left >= 0) & (right >= 0)
+            merged = self.merged[found]
+            if bar:
+                good &= mixed(key ^ (at * np.uint64(PLACE) + merged.astype(np.uint64))) >= np.uint64(bar)
+            return merged, np.where(good, self.rank[merged], np.inf)
+
+        merged, rank = candidates(symbols[:, :-1], symbols[:, 1:], start[:, :-1], keys[:, None])
+        rows, columns = np.arange(n), np.arange(width)
+        while True:
+            best = rank[rows].argmin(axis=1)
+            open_ = rank[rows, best] < np.inf
+            rows, best = rows[open_], best[open_]
+            if not len(rows):
+                return symbols
+            symbols[rows, best] = merged[rows, best]
+            shift = np.minimum(columns + (columns > best[:, None]), width - 1)
+            for x in (symbols, start):
+                x[rows] = np.take_along_axis(x[rows], shift, axis=1)
+            symbols[rows, width - 1] = -1
+            shift = np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), width - 2)
+            for x in (merged, rank):
+                x[rows] = np.take_along_axis(x[rows], shift, axis=1)
+            rank[rows, width - 2] = np.inf
+            for at in (best - 1, best):
+                ok = (at >= 0) & (at < width - 1)
+                r, c = rows[ok], at[ok]
+                merged[r, c], rank[r, c] = candidates(symbols[r, c], symbols[r, c + 1], start[r, c], keys[r])
+
+
+def gathered(pool: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """pool[at:at + n] of each, one after the other."""
+    return pool[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
 class Encoder:
-    """Encodes texts; keeps the segmentations of words met so far, packed as little-endian 32-bit ids."""
+    """Encodes texts; keeps the segmentations of words met so far in a pool of ids."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
-        self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS if dropout else 1)]
-        self.old: list[dict[str, bytes]] = [{} for _ in self.known]
-        self.raw = vocabulary.raw.__getitem__
-
-    def encode(self, text: str, stream: int) -> np.ndarray:
-        """Ids of the text behind the leading space that the model adds; none for an empty text."""
-        if not text:
-            return np.zeros(0, np.int32)
-        units = UNIT.findall(" " + text)
-        if sum(map(len, self.known)) > KNOWN_WORDS:
-            self.old, self.known = self.known, [{} for _ in self.known]
-        if len(self.known) == 1:
-            picks = [0] * len(units)
-        else:
-            with np.errstate(over="ignore"):
-                places = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(scramble((stream ^ self.seed) & M64))
-                picks = (mixed(places) >> np.uint64(62)).astype(np.int64).tolist()
-        known = self.known
-        out = [known[v].get(u) for u, v in zip(units, picks, strict=True)]
-        for i in [i for i, x in enumerate(out) if x is None]:
-            unit, v = units[i], picks[i]
-            if (packed := known[v].get(unit)) is None:
-                if (packed := self.old[v].get(unit)) is None:
-                    packed = np.array(segment(self.vocabulary, unit, self.dropout, self.seed, v), "<i4").tobytes()
-                if len(unit) <= 64:
-                    known[v][unit] = packed
-            out[i] = packed
-        return np.frombuffer(b"".join(out), "<i4")
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        """UTF-8 of the text; the leading space that encoding added is taken away."""
-        return b"".join(map(self.raw, ids.tolist()))[1:]
+        self.vocabulary, self.dropout, self.seed, self.tables = vocabulary, dropout, seed, Tables(vocabulary)
+        self.variants = VARIANTS if dropout else 1
+        self.bar = int(dropout * (1 << 64))
+        self.keys = np.array([scramble((seed * BASE + v + 1) & M64) for v in range(self.variants)], np.uint64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.pool, self.at, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, units: list[str], variants: np.ndarray) -> None:
+        """Segments new words and adds them to the pool."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        n, parts, order = np.zeros(len(units), np.int64), [], []
+        plain = np.zeros(len(units), bool)
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            rows = np.flatnonzero((sizes > low) & (sizes <= width))
+            chars = np.array([units[i] for i in rows], f"U{width}").view(np.uint32).reshape(-1, width)
+            ids = np.where(chars > 0, self.tables.of_char[chars], -1)
+            good = (ids >= 0).sum(axis=1) == sizes[rows]  # all characters are pieces, none is NUL
+            rows, done = rows[good], self.tables.segment(ids[good], self.keys[variants[rows[good]]], self.bar)
+            plain[rows] = True
+            n[rows] = (done >= 0).sum(axis=1)
+            parts.append(done[done >= 0])
+            order.append(rows)
+        for i in np.flatnonzero(~plain):
+            parts.append(np.array(segment(self.vocabulary, units[i], self.dropout, self.seed, int(variants[i])), np.int32))
+            n[i] = len(parts[-1])
+            order.append(np.array([i]))
+        order = np.concatenate(order)
+        at = np.zeros(len(units), np.int64)
+        at[order] = len(self.pool) + np.cumsum(n[order]) - n[order]
+        self.pool = np.concatenate([self.pool, *parts]).astype(np.int32)
+        self.at, self.n = np.concatenate([self.at, at]), np.concatenate([self.n, n])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that all begin with the space that the model adds, and where each text's ids begin and end."""
+        if len(self.known) > KNOWN_WORDS or len(self.pool) > KNOWN_IDS:
+            self.forget()
+        first = data == 32
+        first[1:] &= data[:-1] != 32
+        first[offsets[:-1]] = True
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(data))
+        text = np.searchsorted(offsets, starts, side="right") - 1
+        begin = np.searchsorted(starts, offsets)
+        hashes = run_hashes(data, starts, ends, BASE)
+        picks = np.zeros(len(starts), np.int64)
+        if self.variants > 1:
+            stream = np.array([scramble((s ^ self.seed) & M64) for s in streams], np.uint64)
+            picks = (mixed((np.arange(len(starts)) - begin[text]).astype(np.uint64) * np.uint64(BASE) + stream[text]) % np.uint64(self.variants)).astype(np.int64)
+            hashes = hashes ^ (picks.astype(np.uint64) << np.uint64(62))
+        distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        rows = [self.known.get(k, -1) for k in keys]
+        new = [i for i, r in enumerate(rows) if r < 0]
+        if new:
+            raw, base = data.tobytes(), len(self.n)
+            units = [raw[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
+            self.learn(units, picks[where[new]])
+            for j, i in enumerate(new):
+                rows[i] = self.known[keys[i]] = base + j
+        row = np.array(rows, np.int64)[which]
+        n = self.n[row]
+        return gathered(self.pool, self.at[row], n), np.append(0, np.cumsum(n))[begin]
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """UTF-8 bytes of ids; those of a text begin with the space that encoding added."""
+        return gathered(self.tables.raw, self.tables.raw_at[ids], self.tables.raw_n[ids])
+
+
+def encode_text(encoder: Encoder, text: str, stream: int = 0) -> np.ndarray:
+    """Ids of one text; none for an empty one."""
+    data = np.frombuffer((" " + text).encode(), np.uint8)
+    return encoder.encode(data, np.array([0, len(data)]), [stream])[0] if text else np.zeros(0, np.int32)
+
+
+def decode_ids(encoder: Encoder, ids: np.ndarray) -> str:
+    return encoder.decode(ids)[1:].tobytes().decode()
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout: float, seed: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(vocabulary, dropout, seed)
+    encoder = _kept_encoder(vocabulary, dropout, seed)
     for batch in sliced(batches):
-        rows, every = [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = encoder.encode(text, doc_id or 0)
-            back, raw = encoder.decode(ids), text.encode()
-            rows.append((doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back).hexdigest(), back == raw))
-            every.append(ids)
+        doc_ids = batch.column("doc_id").to_pylist()
+        offsets, raw = text_bytes(batch.column("text"))
+        sizes = np.diff(offsets)
+        some = np.flatnonzero(sizes)  # an empty text has no ids, not even that of the added space
+        data = np.full(int(sizes.sum()) + len(some), 32, np.uint8)
+        begin = np.append(0, np.cumsum(sizes[some] + 1))
+        body = np.ones(len(data), bool)
+        body[begin[:-1]] = False
+        data[body] = raw
+        ids, at = encoder.encode(data, begin, [doc_ids[i] or 0 for i in some]) if len(some) else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+        back = encoder.decode(ids)
+        back_at = np.append(0, np.cumsum(encoder.tables.raw_n[ids]))[at]
+        n_ids, bounds = np.zeros(len(sizes), np.int64), np.zeros((len(sizes), 4), np.int64)
+        n_ids[some] = np.diff(at)
+        bounds[some] = np.stack([at[:-1], at[1:], back_at[:-1] + 1, back_at[1:]], axis=1)
+        id_bytes, back_bytes, raw_bytes = ids.astype("<i4").tobytes(), back.tobytes(), raw.tobytes()
+        rows = []
+        for i, doc_id in enumerate(doc_ids):
+            a, b, c, d = bounds[i].tolist()
+            text = back_bytes[c:d]
+            rows.append((
+                doc_id, b - a, hashlib.sha256(id_bytes[4 * a : 4 * b]).hexdigest(), hashlib.sha256(text).hexdigest(),
+                text == raw_bytes[offsets[i] : offsets[i + 1]],
+            ))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "lossless"]
         if keep_ids:
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in every])]).astype(np.int32)
-            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(every).astype(np.int32))))
+            columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_ids)).astype(np.int32)), pa.array(ids.astype(np.int32))))
             names.append("ids")
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
+_encoders: dict[tuple, Encoder] = {}
+
+
+def _kept_encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Encoder:
+    """A worker's encoder outlives the task, so that the next one knows the words already; there is one at a time."""
+    key = (dropout, seed, hashlib.sha256("\n".join(vocabulary.pieces).encode("utf-8", "surrogatepass")).digest())
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary, dropout, seed)
+    return _encoders[key]
+
+
 def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of 32-bit little-endian ids), decoded_sha256, lossless and, if kept, ids.
 
