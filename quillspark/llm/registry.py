@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import decontaminate, langid, licenses, line_dedup, pieces, pii, simhash, telephony, toxicity
+from quillspark.llm import decontaminate, langid, licenses, line_dedup, phrases, pieces, pii, simhash, telephony, toxicity
 from quillspark.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.store_as_audio(table(spark, sf_dir, "documents"), keep_media=False)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), keep_ids=False)
 
@@ -49,7 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_license_scan, op2_pii_pseudonyms, op3_line_dedup, op4_decontamination, op5_simhash_dedup, op6_toxicity, op7_telephony,
-        op9_sentencepiece, op10_language_id,
+        op8_substring_dedup, op9_sentencepiece, op10_language_id,
     )
     return {f.__name__: f for f in every}
 
