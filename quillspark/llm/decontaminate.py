@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import SLICE_BYTES, sliced, text_bytes
+from quillspark.llm.common import SLICE_BYTES, released, sliced, text_bytes
 
 #: Segments have SEGMENT bytes and begin every STRIDE; a shorter item is one segment. Items under LEAST bytes are no evidence.
 SEGMENT, STRIDE, LEAST = 64, 32, 20
@@ -229,5 +229,5 @@ def _clean(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in which no segment of the benchmark is found; all columns as they are, null texts too."""
     for index in shares(benchmark):
-        docs = docs.mapInArrow(lambda b, index=index: _clean(b, index), docs.schema)
+        docs = docs.mapInArrow(lambda b, index=index: released(_clean(b, index)), docs.schema)
     return docs

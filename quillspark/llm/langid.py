@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import held_out, sliced
+from quillspark.llm.common import held_out, released, sliced
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -243,7 +243,7 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def _identified(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.withColumn("held_out", held_out(F.col("doc_id"))).mapInArrow(
-        lambda b: _predict(b, model), "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint"
+        lambda b: released(_predict(b, model)), "doc_id bigint, held_out boolean, lang_pred string, score double, n_words bigint"
     )
 
 
@@ -272,4 +272,4 @@ def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -
     Rows that are `und` go, whatever `least` is; nothing stays if there is nothing to learn from.
     """
     model = fit(docs, sample)
-    return docs.mapInArrow(lambda b: _keep(b, model, least), docs.schema)
+    return docs.mapInArrow(lambda b: released(_keep(b, model, least)), docs.schema)

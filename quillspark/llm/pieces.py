@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import mixed, run_hashes, sliced, text_bytes
+from quillspark.llm.common import mixed, released, run_hashes, sliced, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 DROPOUT, SEED, VARIANTS = 0.1, 20_240_501, 4
 #: A worker forgets the words it has met when it knows so many, or so many ids of them.
-KNOWN_WORDS, KNOWN_IDS = 600_000, 8_000_000
+KNOWN_WORDS, KNOWN_IDS = 500_000, 4_000_000
 #: Words of up to so many characters are segmented together with those that fit the same width.
 WIDTHS = (9, 13, 20, 40)
 PLACE, BASE = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
@@ -251,7 +251,7 @@ def decode_ids(encoder: Encoder, ids: np.ndarray) -> str:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout: float, seed: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = _kept_encoder(vocabulary, dropout, seed)
+    encoder = Encoder(vocabulary, dropout, seed)
     for batch in sliced(batches):
         doc_ids = batch.column("doc_id").to_pylist()
         offsets, raw = text_bytes(batch.column("text"))
@@ -286,18 +286,6 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout:
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def _kept_encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Encoder:
-    """A worker's encoder outlives the task, so that the next one knows the words already; there is one at a time."""
-    key = (dropout, seed, hashlib.sha256("\n".join(vocabulary.pieces).encode("utf-8", "surrogatepass")).digest())
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary, dropout, seed)
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of 32-bit little-endian ids), decoded_sha256, lossless and, if kept, ids.
 
@@ -310,4 +298,4 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
     vocabulary = Vocabulary(model)
     kinds = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, lossless boolean"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: _encode(b, vocabulary, dropout, seed, keep_ids), kinds + (", ids array<int>" if keep_ids else ""))
+    return rows.mapInArrow(lambda b: released(_encode(b, vocabulary, dropout, seed, keep_ids)), kinds + (", ids array<int>" if keep_ids else ""))

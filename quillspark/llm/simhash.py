@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable, fresh, sliced
+from quillspark.llm.common import durable, fresh, released, sliced
 from quillspark.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -52,7 +52,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed integer) of every row; null and wordless texts have 0."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(lambda b: released(_fingerprints(b)), "doc_id bigint, fp bigint")
 
 
 def spanning(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
