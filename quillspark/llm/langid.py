@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import held_out, released, sliced
+from quillspark.llm.common import give_back, held_out, released, sliced
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -154,7 +154,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
         .mapInArrow(_spans, "place bigint, at bigint, lang string, words string").toArrow().to_pylist()
     )
     spans = sorted({(r["place"], r["at"], r["lang"], r["words"]) for r in spans})
-    return train([(lang, words) for _, _, lang, words in spans]) if spans else None
+    model = train([(lang, words) for _, _, lang, words in spans]) if spans else None
+    give_back()
+    return model
 
 
 class Tagger:

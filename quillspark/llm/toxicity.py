@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import held_out, mixed, run_hashes, runs, sliced, text_bytes
+from quillspark.llm.common import give_back, held_out, mixed, run_hashes, runs, sliced, text_bytes
 
 #: Bytes of words: ASCII letters and digits, and all bytes of longer UTF-8 sequences. Capitals count as small.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -93,6 +93,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
             model.learn(flat[ends[i] : ends[i + 1]], int(toxic[i]))
     w = model.weights()
     at = np.flatnonzero(w[:-1])
+    del rows, lists, flat
+    give_back()
     return at.astype(np.int32), w[at], float(w[-1])
 
 
