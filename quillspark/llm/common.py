@@ -30,7 +30,12 @@ def durable(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(
             df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
         )
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # With the lineage cut, shuffle files and broadcasts behind it are garbage. Spark drops them when the driver's
+    # collector meets their handles, by default every half hour; a long run of stages would pile them up until then.
+    gc.collect()
+    context._jvm.System.gc()
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
