@@ -3,7 +3,8 @@
 Each round every node takes the neighbour of lowest rank (or itself) as its parent, and the graph is contracted
 to the parents. Ranks are scrambled ids, so a constant share of the nodes goes each round whatever the shape: a
 star in two rounds, a path of n nodes in about log n. Hot nodes spread: minima are pre-aggregated, and what joins
-on a hot node is the large, splittable side.
+on a hot node is the large, splittable side. Joins are sort-merge joins throughout: an adaptive broadcast in each of
+the many small steps would fill the driver.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame | None
         up = durable(low.select(F.col("a").alias("node"), F.least(rank("a"), F.col("low"))["id"].alias("up")))
         parents.append(up)
         left, right = (up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}")) for c in "ab")
-        edges = edges.join(left, "a").join(right, "b").where("up_a <> up_b")
+        edges = edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("up_a <> up_b")
         edges = durable(edges.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
     if not parents:
         return None
     out = parents[0].select("node", F.col("up").alias("root"))
     for up in parents[1:]:
-        out = out.join(up.select(F.col("node").alias("root"), "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+        out = out.join(up.select(F.col("node").alias("root"), "up").hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
     return durable(out)

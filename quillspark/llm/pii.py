@@ -24,7 +24,9 @@ IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-
 PHONE = r"(?<![0-9+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 DATE = r"(?<![0-9.-/])(?:1[89]|20|21)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1(?:1[89]|20|21)[0-9]{2}(?![0-9/]|\.[0-9])"
-CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z-])"
+CARD = (
+    r"(?<![0-9A-Za-z])(?<![0-9][.,])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])"
+)
 DATE = DATE.replace("[0-9.-/]", "[0-9./-]")
 ANY = "|".join((EMAIL, IBAN, IP, SSN, PHONE, DATE.replace("([./])", "(?:[./])").replace("\\1", "[./]"), CARD))
 

@@ -109,7 +109,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, np.ndarra
         own = heavy[found]
         once = np.unique((text[own].astype(np.int64) << bits) | found[own])
         total = np.bincount(once >> bits, weights[once & ((1 << bits) - 1)], batch.num_rows) + bias
-        score = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
+        score = np.where(np.isneginf(total), 0.0, 1 / (1 + np.exp(-np.clip(total, -500, 500))))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
             names=["doc_id", "held_out", "score", "predicted"],
