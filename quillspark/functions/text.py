@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Fixed values.
 PLACEHOLDER_TRIM = "№|наот_*!"
+EMPTY_NUMBER = r"(?iu)№\s*_*$|№\s*_*от_*$|№\.*$|№\s?\.*от.*$|№\s*(на)?$"
 MIXED_UPPER, MIXED_ANY = r"[\x{41}-\x{42F}]", r"[\x{61}-\x{44F}]"
 
 
@@ -65,8 +66,8 @@ def outgoing_number(text: Column) -> Column:
 
 
 def is_filled(number: Column) -> Column:
-    """False for placeholders such as "№", "№ ____" or "№ от"."""
-    return ~number.rlike(r"(?iu)^\s*№?\s*(_+|\*+|-+|от|на|б/н|\s)*\s*$")
+    """False if no letters or digits of a number follow the sign."""
+    return ~F.trim(number).rlike(EMPTY_NUMBER)
 
 
 def trimmed_number(number: Column) -> Column:

@@ -24,7 +24,8 @@ def clean_partners(partners: DataFrame) -> DataFrame:
 
 def clean_employees(employees: DataFrame) -> DataFrame:
     """Surname and initials from names whose first and middle names are stored the wrong way round."""
-    swapped = employees.na.drop(subset=["last_name"]).withColumnsRenamed({"first_name": "middle_name", "middle_name": "first_name"})
+    known = employees.na.drop(subset=["last_name"])
+    swapped = known.withColumns({"first_name": F.col("middle_name"), "middle_name": F.col("first_name")})  # both from the row as it was
     out = swapped.withColumns({c: T.letters_only(F.col(c)) for c in ("last_name", "first_name", "middle_name")})
     out = out.withColumns({c: F.upper(F.substring(c, 1, 1)) for c in ("first_name", "middle_name")}).withColumn("last_name", F.initcap("last_name"))
     return out.where(~F.lower("last_name").isin(*SURNAME_STOP) & ((F.length("last_name") > 1) | F.col("last_name").isin(*ONE_LETTER)))

@@ -98,13 +98,13 @@ def text_upper_ratio(spark, sf):
     )
 
 
-@query("""SELECT doc_id, length(text) AS blocks_len, n AS words_count, round(total / n::DOUBLE, 6) AS mean_word_len FROM (SELECT doc_id, text, len(w) AS n, length(array_to_string(w, '')) AS total
+@query("""SELECT doc_id, length(text) AS blocks_len, n AS words_count, round(length(text) / n::DOUBLE, 6) AS mean_word_len FROM (SELECT doc_id, text, len(w) AS n
     FROM (SELECT doc_id, text, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM documents)) WHERE n > 0""")
 def word_stats(spark, sf):
     w = T.words(F.col("text"))
     out = table(spark, sf, "documents").select("doc_id", "text", w.alias("w")).where(F.size("w") > 0)
     return out.select(
-        "doc_id", F.length("text").cast("bigint").alias("blocks_len"), F.size("w").cast("bigint").alias("words_count"), F.round(F.length(F.array_join("w", "")) / F.size("w"), 6).alias("mean_word_len")
+        "doc_id", F.length("text").cast("bigint").alias("blocks_len"), F.size("w").cast("bigint").alias("words_count"), F.round(F.length("text") / F.size("w"), 6).alias("mean_word_len")
     )
 
 
@@ -157,7 +157,7 @@ def doc_min_blocks(spark, sf):
 
 @query("""SELECT event_id, round(value / nullif(max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0), 6) AS value FROM events""")
 def running_max_norm(spark, sf):
-    out = layout.running_max_normalised(table(spark, sf, "events"), ("value",), ["user_id"], ["ts", "event_id"])
+    out = layout.running_max_normalised(table(spark, sf, "events"), {"value": "value"}, ["user_id"], ["ts", "event_id"])
     return out.select("event_id", F.round("value", 6).alias("value"))
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quillspark.operators.groups import first_per_group
 
@@ -30,7 +35,19 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "utf-8", sep: str = ",") -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("encoding", encoding).option("sep", sep).option("multiLine", True).csv(path)
+    """CSV with a header and a declared schema. Spark reads UTF-8; reference tables in other encodings are decoded file by file."""
+    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
+        return spark.read.schema(schema).option("header", True).option("sep", sep).option("multiLine", True).csv(path)
+    wanted = StructType.fromDDL(schema)
+    texts = StructType([StructField(f.name, StringType()) for f in wanted])
+
+    def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                yield pd.read_csv(io.BytesIO(content), encoding=encoding, sep=sep, dtype=str, keep_default_na=False, na_values=[""])[texts.names]
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(decoded, texts)
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
