@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import durable
+from quillspark.llm.common import stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame | None:
@@ -22,20 +22,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame | None
     left out. None if there is no edge between different nodes. What the driver sees of it all is one count a round.
     """
     edges = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b").distinct()
-    edges = durable(edges)
+    edges = stored(edges)
     parents: list[DataFrame] = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct(F.xxhash64(c).alias("r"), F.col(c).alias("id"))
         low = both.groupBy("a").agg(F.min(rank("b")).alias("low"))
-        up = durable(low.select(F.col("a").alias("node"), F.least(rank("a"), F.col("low"))["id"].alias("up")))
+        up = stored(low.select(F.col("a").alias("node"), F.least(rank("a"), F.col("low"))["id"].alias("up")))
         parents.append(up)
         left, right = (up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}")) for c in "ab")
         edges = edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("up_a <> up_b")
-        edges = durable(edges.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
+        edges = stored(edges.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
     if not parents:
         return None
     out = parents[0].select("node", F.col("up").alias("root"))
     for up in parents[1:]:
         out = out.join(up.select(F.col("node").alias("root"), "up").hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-    return durable(out)
+    return stored(out)
