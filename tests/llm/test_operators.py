@@ -379,3 +379,16 @@ def test_pipeline(spark, sf):
 
 def test_registered():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)] and sys.modules["quillspark.llm"]
+
+
+def test_line_similarity_brute_force(spark):
+    """Whether two lines need at most a fifth of their length in edits, short and long, near the bound and far from it."""
+    draw, rows = np.random.default_rng(1), []
+    for n in (1, 4, 30, 200, 513, 900):
+        for rate in (0, 0.02, 0.17, 0.2, 0.23, 0.5):
+            a = "".join(draw.choice(list("abcdé "), n))
+            b = "".join(c if draw.random() > rate else ("", "x", c + "y")[draw.integers(3)] for c in a)
+            rows.append((a, b, bool(distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))))
+    pairs = spark.createDataFrame(rows, "a string, b string, want boolean")
+    pairs = pairs.select("want", line_dedup.differences(pairs.a, pairs.b).alias("rest")).selectExpr("want", f"transform(rest, x -> {line_dedup.SIMILAR})[0] as got")
+    assert pairs.where("got <> want or got is null").count() == 0 and {r.want for r in pairs.collect()} == {True, False}
