@@ -2,12 +2,13 @@
 
 A text is one sequence in which a space is U+2581. No piece of a merge-type vocabulary has a space after another
 character, so merges never cross from one word to the next: each word with the spaces before it is segmented by
-itself. Within a word an agenda gives the best merge first, and a keyed hash of (seed, variant, place, pair)
-decides whether that candidate is skipped. Each occurrence of a word takes one of VARIANTS variants by a keyed
-hash of its place, so that a frequent word has several segmentations, each of which a worker computes only once.
+itself. Within a word an agenda gives the best merge first, and a keyed hash of (seed, doc_id, place of the word in
+the text, place in the word, pair) decides whether that candidate is skipped: every occurrence draws for itself.
 
-A batch of texts is cut into words with numpy; distinct words that the worker has not met are segmented together,
-one merge of each per step; segmentations are put together from a pool of ids, decoded and compared with the text.
+Which merge comes next depends only on the word and on what was skipped before. A worker keeps that as a tree for
+each word, of the ways that occurrences took so far; all occurrences of a batch go down their trees together, one
+choice per step, and a way that nobody took before is worked out by segmenting the occurrence (with numpy, one
+choice of each per step). Segmentations are put together from a pool of ids, decoded and compared with the text.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ from quillspark.llm.common import mixed, released, run_hashes, sliced, text_byte
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-DROPOUT, SEED, VARIANTS = 0.1, 20_240_501, 4
-#: A worker forgets the words it has met when it knows so many, or so many ids of them.
+DROPOUT, SEED = 0.1, 20_240_501
+#: Draws of a word that are held against the function segment, one by one; texts draw from 64 bits.
+VARIANTS = 4
+#: A worker forgets the words it has met when it knows so many, or so many ids or choices of them.
 KNOWN_WORDS, KNOWN_IDS = 500_000, 4_000_000
+#: Words of more bytes have no tree when there is dropout: hardly two occurrences would go the same way.
+TREE_BYTES = 64
 #: Words of up to so many characters are segmented together with those that fit the same width.
 WIDTHS = (9, 13, 20, 40)
 PLACE, BASE = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
@@ -65,8 +70,11 @@ def scramble(x: int) -> int:
     return x ^ (x >> 31)
 
 
-def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int = 0, variant: int = 0) -> list[int]:
-    """Piece ids of a word with the spaces before it. A literal U+2581 goes by bytes, so it differs from a space."""
+def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int = 0, variant: int = 0, trace: list | None = None) -> list[int]:
+    """Piece ids of a word with the spaces before it. A literal U+2581 goes by bytes, so it differs from a space.
+
+    variant is the draw of the occurrence. trace is given the choices: code of the candidate, whether it was skipped.
+    """
     symbols: list[str | None] = [" " if c == SPACE else SPACE if c == " " else c for c in unit]  # a literal one can't merge as " " is in no piece
     score, n = vocabulary.score, len(symbols)
     before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -80,7 +88,11 @@ def segment(vocabulary: Vocabulary, unit: str, dropout: float = 0.0, seed: int =
         rank, i, j, pair = heapq.heappop(agenda)
         if symbols[i] is None or symbols[j] is None or after[i] != j or symbols[i] + symbols[j] != pair:
             continue  # a part has been merged since
-        if bar and scramble(key ^ (i * PLACE + vocabulary.ids[pair]) & M64) < bar:
+        code = (i * PLACE + vocabulary.ids[pair]) & M64
+        skipped = bar > 0 and scramble(key ^ code) < bar
+        if trace is not None:
+            trace.append((code, skipped))
+        if skipped:
             continue
         symbols[i], symbols[j] = pair, None
         after[i] = k = after[j]
@@ -123,28 +135,39 @@ class Tables:
         self.raw_n = np.array([len(r) for r in vocabulary.raw], np.int64)
         self.raw_at = np.cumsum(self.raw_n) - self.raw_n
 
-    def segment(self, symbols: np.ndarray, keys: np.ndarray, bar: int) -> np.ndarray:
-        """As the function segment, for all rows of character ids (ended by -1) at once; rows of piece ids, ended by -1."""
+    def segment(self, symbols: np.ndarray, keys: np.ndarray, bar: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As the function segment, for all rows of character ids (ended by -1) at once.
+
+        Rows of piece ids, ended by -1; the choices of row after row: codes, and whether skipped; their number in each row.
+        """
         n, width = symbols.shape
         start = np.tile(np.arange(width, dtype=np.uint64), (n, 1))
 
-        def candidates(left: np.ndarray, right: np.ndarray, at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def candidates(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             pair = left.astype(np.int64) * self.size + right
             found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
             good = (self.pairs[found] == pair) & (left >= 0) & (right >= 0)
             merged = self.merged[found]
-            if bar:
-                good &= mixed(key ^ (at * np.uint64(PLACE) + merged.astype(np.uint64))) >= np.uint64(bar)
             return merged, np.where(good, self.rank[merged], np.inf)
 
-        merged, rank = candidates(symbols[:, :-1], symbols[:, 1:], start[:, :-1], keys[:, None])
+        merged, rank = candidates(symbols[:, :-1], symbols[:, 1:])
         rows, columns = np.arange(n), np.arange(width)
+        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while True:
             best = rank[rows].argmin(axis=1)
             open_ = rank[rows, best] < np.inf
             rows, best = rows[open_], best[open_]
             if not len(rows):
-                return symbols
+                of, codes, skips = (np.concatenate(x) for x in zip(*made, strict=True)) if made else (np.zeros(0, k) for k in (np.int64, np.uint64, bool))
+                order = np.argsort(of, kind="stable")
+                return symbols, codes[order], skips[order], np.bincount(of, minlength=n)
+            still = rows
+            if bar:
+                code = start[rows, best] * np.uint64(PLACE) + merged[rows, best].astype(np.uint64)
+                skip = mixed(keys[rows] ^ code) < np.uint64(bar)
+                made.append((rows, code, skip))
+                rank[rows[skip], best[skip]] = np.inf
+                rows, best = rows[~skip], best[~skip]
             symbols[rows, best] = merged[rows, best]
             shift = np.minimum(columns + (columns > best[:, None]), width - 1)
             for x in (symbols, start):
@@ -157,7 +180,8 @@ class Tables:
             for at in (best - 1, best):
                 ok = (at >= 0) & (at < width - 1)
                 r, c = rows[ok], at[ok]
-                merged[r, c], rank[r, c] = candidates(symbols[r, c], symbols[r, c + 1], start[r, c], keys[r])
+                merged[r, c], rank[r, c] = candidates(symbols[r, c], symbols[r, c + 1])
+            rows = still
 
 
 def gathered(pool: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -165,48 +189,93 @@ def gathered(pool: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     return pool[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
 
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Where the values begin."""
+        at, self.size = self.size, self.size + len(values)
+        if self.size > len(self.room):
+            self.room = np.concatenate([self.room[:at], np.zeros(max(self.size, 2 * at) - at, self.room.dtype)])
+        self.room[at : self.size] = values
+        return at
+
+
 class Encoder:
-    """Encodes texts; keeps the segmentations of words met so far in a pool of ids."""
+    """Encodes texts; keeps a tree of choices for each word met so far, and their segmentations in a pool of ids.
+
+    A node of a tree is a choice (its code, and the nodes that follow if the candidate is taken or skipped, -1 while
+    nobody went there) or an end, with the place and number of its ids in the pool.
+    """
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
         self.vocabulary, self.dropout, self.seed, self.tables = vocabulary, dropout, seed, Tables(vocabulary)
-        self.variants = VARIANTS if dropout else 1
         self.bar = int(dropout * (1 << 64))
-        self.keys = np.array([scramble((seed * BASE + v + 1) & M64) for v in range(self.variants)], np.uint64)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.pool, self.at, self.n = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.code, self.next = Growing(np.int32), Growing(np.uint64), Growing(np.int32)
+        self.at, self.n = Growing(np.int64), Growing(np.int32)  # n is -1 for a choice
+
+    @property
+    def pool(self) -> np.ndarray:
+        return self.ids.room[: self.ids.size]
+
+    def keys(self, draws: np.ndarray) -> np.ndarray:
+        """The key of an occurrence, from its draw and the seed."""
+        return mixed(draws.astype(np.uint64) + np.uint64((self.seed * BASE + 1) & M64))
 
-    def learn(self, units: list[str], variants: np.ndarray) -> None:
-        """Segments new words and adds them to the pool."""
+    def learn(self, units: list[str], draws: np.ndarray, done: int = 0) -> np.ndarray:
+        """Segments occurrences of words; their choices after the first `done`, and ends, become nodes. The first of each."""
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        n, parts, order = np.zeros(len(units), np.int64), [], []
+        keys = self.keys(draws)
         plain = np.zeros(len(units), bool)
+        parts, n, order, codes, skips, made = [], [], [], [], [], []
         for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
             rows = np.flatnonzero((sizes > low) & (sizes <= width))
             chars = np.array([units[i] for i in rows], f"U{width}").view(np.uint32).reshape(-1, width)
             ids = np.where(chars > 0, self.tables.of_char[chars], -1)
             good = (ids >= 0).sum(axis=1) == sizes[rows]  # all characters are pieces, none is NUL
-            rows, done = rows[good], self.tables.segment(ids[good], self.keys[variants[rows[good]]], self.bar)
+            rows = rows[good]
+            out, code, skip, choices = self.tables.segment(ids[good], keys[rows], self.bar)
             plain[rows] = True
-            n[rows] = (done >= 0).sum(axis=1)
-            parts.append(done[done >= 0])
-            order.append(rows)
+            for x, y in zip((parts, n, order, codes, skips, made), (out[out >= 0], (out >= 0).sum(axis=1), rows, code, skip, choices), strict=True):
+                x.append(y)
         for i in np.flatnonzero(~plain):
-            parts.append(np.array(segment(self.vocabulary, units[i], self.dropout, self.seed, int(variants[i])), np.int32))
-            n[i] = len(parts[-1])
-            order.append(np.array([i]))
-        order = np.concatenate(order)
-        at = np.zeros(len(units), np.int64)
-        at[order] = len(self.pool) + np.cumsum(n[order]) - n[order]
-        self.pool = np.concatenate([self.pool, *parts]).astype(np.int32)
-        self.at, self.n = np.concatenate([self.at, at]), np.concatenate([self.n, n])
+            trace: list[tuple[int, bool]] = []
+            out = np.array(segment(self.vocabulary, units[i], self.dropout, self.seed, int(draws[i]), trace if self.bar else None), np.int32)
+            code, skip = np.array([t[0] for t in trace], np.uint64), np.array([t[1] for t in trace], bool)
+            for x, y in zip((parts, n, order, codes, skips, made), (out, [len(out)], [i], code, skip, [len(trace)]), strict=True):
+                x.append(y)
+        n, order, skips, made = np.concatenate(n), np.concatenate(order), np.concatenate(skips), np.concatenate(made).astype(np.int64)
+        at = self.ids.add(np.concatenate(parts)) + np.cumsum(n) - n
+        kept = np.maximum(made - done, 0)
+        begin = np.cumsum(made) - made + made - kept  # of the choices that become nodes
+        last = np.cumsum(kept + 1) - 1
+        total = int(last[-1]) + 1
+        end = np.zeros(total, bool)
+        end[last] = True
+        place, count = np.zeros(total, np.int64), np.full(total, -1, np.int32)
+        place[last], count[last] = at, n
+        code, turn = np.zeros(total, np.uint64), np.full((total, 2), -1, np.int32)
+        code[~end] = gathered(np.concatenate(codes), begin, kept)
+        base = self.code.add(code)
+        inner = np.flatnonzero(~end)
+        turn[inner, gathered(skips, begin, kept).astype(np.int64)] = base + inner + 1
+        self.next.add(turn.ravel())
+        self.at.add(place)
+        self.n.add(count)
+        first = np.zeros(len(units), np.int64)
+        first[order] = base + last - kept
+        return first
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that all begin with the space that the model adds, and where each text's ids begin and end."""
-        if len(self.known) > KNOWN_WORDS or len(self.pool) > KNOWN_IDS:
+        if len(self.known) > KNOWN_WORDS or max(self.ids.size, self.code.size) > KNOWN_IDS:
             self.forget()
         first = data == 32
         first[1:] &= data[:-1] != 32
@@ -216,24 +285,42 @@ class Encoder:
         text = np.searchsorted(offsets, starts, side="right") - 1
         begin = np.searchsorted(starts, offsets)
         hashes = run_hashes(data, starts, ends, BASE)
-        picks = np.zeros(len(starts), np.int64)
-        if self.variants > 1:
+        draws = np.zeros(len(starts), np.uint64)
+        if self.bar:
             stream = np.array([scramble((s ^ self.seed) & M64) for s in streams], np.uint64)
-            picks = (mixed((np.arange(len(starts)) - begin[text]).astype(np.uint64) * np.uint64(BASE) + stream[text]) % np.uint64(self.variants)).astype(np.int64)
-            hashes = hashes ^ (picks.astype(np.uint64) << np.uint64(62))
-        distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        rows = [self.known.get(k, -1) for k in keys]
-        new = [i for i, r in enumerate(rows) if r < 0]
-        if new:
-            raw, base = data.tobytes(), len(self.n)
-            units = [raw[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
-            self.learn(units, picks[where[new]])
-            for j, i in enumerate(new):
-                rows[i] = self.known[keys[i]] = base + j
-        row = np.array(rows, np.int64)[which]
-        n = self.n[row]
-        return gathered(self.pool, self.at[row], n), np.append(0, np.cumsum(n))[begin]
+            draws = mixed((np.arange(len(starts)) - begin[text]).astype(np.uint64) * np.uint64(BASE) + stream[text])
+        single = (ends - starts > TREE_BYTES) if self.bar else np.zeros(len(starts), bool)  # segmented one by one
+        raw = data.tobytes()
+        words = lambda at: [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+        node = np.zeros(len(starts), np.int64)
+        distinct, where, which = np.unique(hashes[~single], return_index=True, return_inverse=True)
+        where = np.flatnonzero(~single)[where]
+        names = distinct.tolist()
+        roots = np.array([self.known.get(k, -1) for k in names], np.int64)
+        new = np.flatnonzero(roots < 0)
+        if len(new):
+            roots[new] = self.learn(words(where[new]), draws[where[new]])
+            self.known.update((names[i], int(roots[i])) for i in new)
+        node[~single] = roots[which]
+        if single.any():
+            at = np.flatnonzero(single)
+            node[at] = self.learn(words(at), draws[at], 1 << 60)
+        keys, done = self.keys(draws), 0
+        active = np.flatnonzero(self.n.room[node] < 0)
+        while len(active):
+            skip = mixed(keys[active] ^ self.code.room[node[active]]) < np.uint64(self.bar)
+            turn, done = 2 * node[active] + skip, done + 1
+            after = self.next.room[turn].astype(np.int64)
+            if len(lost := np.flatnonzero(after < 0)):
+                way, one = np.unique(turn[lost], return_index=True)
+                at = active[lost[one]]
+                found = self.learn(words(at), draws[at], done)
+                self.next.room[way] = found
+                after[lost] = self.next.room[turn[lost]]
+            node[active] = after
+            active = active[self.n.room[after] < 0]
+        n = self.n.room[node].astype(np.int64)
+        return gathered(self.pool, self.at.room[node], n), np.append(0, np.cumsum(n))[begin]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """UTF-8 bytes of ids; those of a text begin with the space that encoding added."""
@@ -290,7 +377,7 @@ def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed:
     """doc_id, n_tokens, ids_sha256 (of 32-bit little-endian ids), decoded_sha256, lossless and, if kept, ids.
 
     The text of every row of docs is encoded whole and its ids are decoded again; lossless says that the bytes
-    came back. Variants are drawn by (seed, doc_id, place), so a run repeats exactly at any partitioning, and with
+    came back. Each occurrence of a word draws by (seed, doc_id, place), so a run repeats exactly at any partitioning, and with
     dropout 0 ids are those of the model's own encoder. A null or empty text has no ids (and is lossless); a null
     doc_id counts as 0 for the draw and stays null; repeated rows are encoded one by one; other columns are not
     read. The model file is read on the driver only.

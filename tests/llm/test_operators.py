@@ -330,6 +330,23 @@ def test_pieces(spark, sf, odd, none):
     assert pieces.encode(none).count() == 0
 
 
+def test_pieces_draw_per_occurrence():
+    """Every occurrence of a word is segmented by its own draw, and over many occurrences every merge is skipped somewhere."""
+    vocabulary = pieces.Vocabulary()
+    encoder, unit = pieces.Encoder(vocabulary, 0.1, 5), " international"
+    skips = {}
+    for doc in range(6):
+        draws = [pieces.scramble((i * pieces.BASE + pieces.scramble((doc ^ 5) & pieces.M64)) & pieces.M64) for i in range(200)]
+        assert pieces.encode_text(encoder, (unit * 200)[1:], doc).tolist() == [x for d in draws for x in pieces.segment(vocabulary, unit, 0.1, 5, d)]
+        for d in draws:
+            pieces.segment(vocabulary, unit, 0.1, 5, d, trace := [])
+            for code, skipped in trace:
+                skips.setdefault(code, []).append(skipped)
+    common = [np.mean(s) for s in skips.values() if len(s) > 400]
+    assert len(common) > 3 and all(0.05 < m < 0.16 for m in common)
+    assert len({tuple(pieces.segment(vocabulary, unit, 0.1, 5, d)) for d in draws}) > pieces.VARIANTS
+
+
 def test_language(spark, odd, none):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
