@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import give_back, held_out, released, sliced
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A run of letters; a longer one is cut into consecutive pieces, each of them a place of the chain. None is read in part.
+WORD = re.compile(r"[^\W\d_]{1,64}")
 UNKNOWN = "und"
 #: Words of one chain; longer texts are runs of such chains.
 CHAIN = 128
@@ -32,9 +33,9 @@ KNOWN_WORDS = 300_000
 def word_features(word: str) -> list[int]:
     """Hashed prefixes and suffixes to three characters, n-grams to three within marked ends, and the word."""
     marked = f"<{word}>"
-    parts = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3)] + ["w" + word[:64]]
+    parts = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3)] + ["w" + word]
     for n in (1, 2, 3):
-        parts += [marked[i : i + n] for i in range(min(len(marked) - n + 1, 64))]
+        parts += [marked[i : i + n] for i in range(len(marked) - n + 1)]
     return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % HASH for p in parts]
 
 
@@ -235,7 +236,8 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     The document's language has the largest share of the words' marginals, weighted by characters; score is that
     share, so that code-switched text scores low. Null texts, texts without a letter, and all texts when there is
     nothing to learn from, are `und` with score 0. Learns only from rows with a non-null language and id that are
-    not held out, `sample` documents at most. Ties go to the language that sorts first. A null doc_id is not held
+    not held out, `sample` documents at most. n_words counts the pieces that WORD finds, so a run of letters without
+    a space counts once for every 64 of them. Ties go to the language that sorts first. A null doc_id is not held
     out. Repeated rows are judged one by one; of other columns none is read.
     """
     model = fit(docs, sample)

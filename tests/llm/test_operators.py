@@ -357,6 +357,16 @@ def test_language(spark, odd, none):
     assert langid.identify(odd.where("false").unionByName(odd).drop("lang").selectExpr("*", "cast(null as string) lang")).where("lang_pred = 'und'").count() == 12
 
 
+def test_language_of_long_runs(spark):
+    """A run of letters without spaces is read to its end, not judged by its beginning."""
+    model = langid.train([("aa", "abba baab aba bab"), ("zz", "xyzz zyxx zxy yzx")] * 20)
+    texts = ["abba" * 40 + "xyzz" * 400, "xyzz" * 40 + "abba" * 400, "abba" * 40]
+    frame = langid._identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    got = {r.doc_id: (r.lang_pred, r.score, r.n_words) for r in frame.collect()}
+    assert [got[i][0] for i in range(3)] == ["zz", "aa", "aa"] and [got[i][2] for i in range(3)] == [28, 28, 3]
+    assert abs(got[0][1] - 10 / 11) < 0.05 and abs(got[1][1] - 10 / 11) < 0.05
+
+
 def test_forward_backward_brute_force():
     from itertools import product
 
