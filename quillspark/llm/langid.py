@@ -270,10 +270,11 @@ def _judge(part: pa.RecordBatch, tagger: Tagger) -> Iterator[np.ndarray]:
     yield np.where(total > 0, share.max(axis=1) / np.maximum(total, 1e-300), -1.0)
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs whose text has one language for `least` of its characters; all columns as they are.
+def keep_identified(docs: DataFrame, least: float = 0.0, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs that identify() does not call `und`; all columns as they are. Code-switched texts stay.
 
-    Rows that are `und` go, whatever `least` is; nothing stays if there is nothing to learn from.
+    With a `least`, one language must also have that share of the characters. Nothing stays if there is nothing to
+    learn from.
     """
     model = fit(docs, sample)
     return docs.mapInArrow(lambda b: released(_keep(b, model, least)), docs.schema)

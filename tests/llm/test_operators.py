@@ -367,6 +367,22 @@ def test_language_of_long_runs(spark):
     assert abs(got[0][1] - 10 / 11) < 0.05 and abs(got[1][1] - 10 / 11) < 0.05
 
 
+def test_mixed_languages_stay(spark):
+    """The pipeline's first stage keeps a document in three languages in like parts; only what is `und` goes."""
+    import corpus_pipeline
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    by = {}
+    for r in docs.where("lang is not null").orderBy("doc_id").limit(400).collect():
+        by.setdefault(r.lang, []).extend(r.text.split()[:40])
+    parts = [" ".join(words[:120]) for _, words in sorted(by.items())][:3]
+    mixed = spark.createDataFrame([(-1, "\n".join(parts), None), (-2, "1234 ..", None), (-3, None, None)], docs.schema)
+    assert len(parts) == 3
+    score = {r.doc_id: r.score for r in langid.identify(docs.unionByName(mixed)).where("doc_id < 0").collect()}
+    assert 0 < score[-1] < 0.5 and score[-2] == score[-3] == 0
+    assert [r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(mixed), "").where("doc_id < 0").collect()] == [-1]
+
+
 def test_forward_backward_brute_force():
     from itertools import product
 
