@@ -282,6 +282,26 @@ def jaro_winkler(spark, sf):
     return a.join(b, "k").where("a < b").select("a", "b", F.round(S.jaro_winkler_ratio(F.col("a"), F.col("b")), 6).alias("sim"))
 
 
+# The SQL of the two queries above fixes their part of the table (p_size > 45; names with the same first letter).
+# The next two do the whole job of the same operators.
+
+
+@query("SELECT DISTINCT a.p_name, b.p_partkey AS s FROM part a JOIN part b ON a.p_name = b.p_name OR a.p_name = b.p_type")
+def exact_union_dedupe_whole(spark, sf):
+    part = table(spark, sf, "part")
+    right = part.select(F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.col("p_partkey").alias("s"))
+    return resolve.exact_union(part.select("p_name").distinct(), "p_name", right, ["name", "kind"], "s")
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name FROM part), j AS (SELECT a.p_name AS a, b.p_name AS b, jaro_similarity(a.p_name, b.p_name) AS j FROM n a JOIN n b ON a.p_name < b.p_name)
+    SELECT a, b, round(j + 0.1 * (1 - j) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 WHEN a[1] = b[1] THEN 1 ELSE 0 END, 6) AS sim FROM j""")
+def jaro_winkler_whole(spark, sf):
+    """All pairs of distinct names, whatever their first letters."""
+    names = table(spark, sf, "part").select("p_name").distinct()
+    a, b = names.select(F.col("p_name").alias("a")), names.select(F.col("p_name").alias("b"))
+    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(S.jaro_winkler_ratio(F.col("a"), F.col("b")), 6).alias("sim"))
+
+
 def _names(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of brand and type words with part names: short texts of a shared key."""
     return table(spark, sf, "part").select(F.col("p_name").alias("a"), F.lower(F.concat_ws(" ", "p_type", "p_name")).alias("b")).distinct()
