@@ -88,3 +88,32 @@ TEXTS: dict[str, tuple[str, ...]] = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "SPDX-License-Identifier: CC-BY-SA-4.0"),
 }
+
+#: SHA-256 of the form by which licenses are looked up (licenses.look_up_text), of texts too long for this file, as Debian's
+#: base-files has them: whole and, if the terms have a marked end, without what follows it, with and without the mark.
+DIGESTS: dict[str, str] = {
+    "95f35d79ea3bab75c250549d6a03cef242e0547d78c99e26fcede49936fb0184": "Apache-2.0",
+    "f45538b138cf9aea39fa205de037a0bede8305e68281650e7ab809a8b3ebb2f0": "Apache-2.0",
+    "37599287c15c2f2ec060c3c3b55bdf69e3bc7a8aeeb9cd57e18800088789538a": "Apache-2.0",
+    "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224": "GPL-1.0-only",
+    "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc": "GPL-1.0-only",
+    "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70": "GPL-1.0-only",
+    "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821": "GPL-2.0-only",
+    "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34": "GPL-2.0-only",
+    "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808": "GPL-2.0-only",
+    "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a": "GPL-3.0-only",
+    "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636": "GPL-3.0-only",
+    "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191": "GPL-3.0-only",
+    "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908": "LGPL-2.0-only",
+    "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260": "LGPL-2.0-only",
+    "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2": "LGPL-2.0-only",
+    "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891": "LGPL-2.1-only",
+    "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4": "LGPL-2.1-only",
+    "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df": "LGPL-2.1-only",
+    "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be": "LGPL-3.0-only",
+    "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6": "MPL-1.1",
+    "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a": "MPL-2.0",
+    "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f": "CC0-1.0",
+    "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b": "GFDL-1.2-only",
+    "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d": "GFDL-1.3-only",
+}

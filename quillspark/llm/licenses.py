@@ -12,10 +12,13 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.license_texts import TEXTS
+from quillspark.llm.license_texts import DIGESTS, TEXTS
 
 #: Lines that name a copyright holder and a year. They differ from copy to copy of a license.
 COPYRIGHT_LINE = r"(^|\n)[^\n\p{L}\p{N}]*(copyright|©|\(c\))[^\n]*[0-9]{4}[^\n]*"
+#: For the look-up of a license also lines with a sign after the word, and the phrase that reserves all rights, are left out.
+HOLDER_LINE = r"(^|\n)[^\n\p{L}\p{N}]*((copyright|©|\(c\))[^\n]*[0-9]{4}|copyright[^\n\p{L}\p{N}]*(\(c\)|©)|©)[^\n]*"
+RESERVED = "all rights reserved"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: Spellings that count as equal, replaced in this order after lower-casing.
 EQUIVALENT = (
@@ -40,6 +43,23 @@ def canonical_text(text: str) -> str:
     return re.sub(r"[\W_]+", " ", out).strip()
 
 
+def look_up_digest(text: Column, digest: Column) -> Column:
+    """SHA-256 of the form by which licenses are looked up: digest, that of the canonical form, unless there is more to leave out."""
+    bare = canonical(F.replace(F.regexp_replace(F.lower(text), HOLDER_LINE, "$1"), F.lit(RESERVED), F.lit("")))
+    return F.when(F.lower(text).rlike(f"copyright|©|{RESERVED}"), F.sha2(bare, 256)).otherwise(digest)
+
+
+def look_up_text(text: str) -> str:
+    """The form by which licenses are looked up, on the driver."""
+    bare = re.sub(r"(^|\n)(?:(?!\n)[\W_])*((copyright|©|\(c\))[^\n]*[0-9]{4}|copyright(?:(?!\n)[\W_])*(\(c\)|©)|©)[^\n]*", r"\1", text.lower())
+    return canonical_text(bare.replace(RESERVED, ""))
+
+
+def look_up_digests() -> dict[str, str]:
+    """SHA-256 of the form by which licenses are looked up to license id: the catalogue's texts and those known by digest."""
+    return DIGESTS | {hashlib.sha256(look_up_text(text).encode()).hexdigest(): name for name, texts in TEXTS.items() for text in texts}
+
+
 def known_digests() -> dict[str, str]:
     """SHA-256 of canonical text to license id."""
     return {hashlib.sha256(canonical_text(text).encode()).hexdigest(): name for name, texts in TEXTS.items() for text in texts}
@@ -48,24 +68,27 @@ def known_digests() -> dict[str, str]:
 def scan_licenses(docs: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
     """doc_id, text_digest, license_id (of the whole text, null if it is no known license) of every row of docs.
 
-    The whole text is digested in canonical form. Null texts have null digests and no license; a text without a
+    The whole text is digested in canonical form; its license is looked up by look_up_digest. Null texts have null digests and no license; a text without a
     letter or digit has the digest of the empty text, which is no license. Repeated rows and null doc_ids stay as
     they are; other columns are not read. catalogue has digest and license_id; of equal digests the license that
     sorts first holds. An empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").alias("doc_id"), F.sha2(canonical(F.col("text").cast("string")), 256).alias("text_digest"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").alias("doc_id"), F.sha2(canonical(text), 256).alias("text_digest"), text.alias("text"))
     if catalogue is None:
-        known = F.broadcast(docs.sparkSession.createDataFrame(sorted(known_digests().items()), "text_digest string, license_id string"))
-    else:
-        known = catalogue.groupBy(F.col("digest").alias("text_digest")).agg(F.min("license_id").alias("license_id"))
+        rows = rows.select("doc_id", "text_digest", look_up_digest(F.col("text"), F.col("text_digest")).alias("look_up"))
+        known = F.broadcast(docs.sparkSession.createDataFrame(sorted(look_up_digests().items()), "look_up string, license_id string"))
+        return rows.join(known, "look_up", "left").select("doc_id", "text_digest", "license_id")
+    known = catalogue.groupBy(F.col("digest").alias("text_digest")).agg(F.min("license_id").alias("license_id"))
     return rows.join(known, "text_digest", "left").select("doc_id", "text_digest", "license_id")
 
 
 def scan_notices(docs: DataFrame) -> DataFrame:
     """doc_id, line_no (from 0), license_id: the lines that are, in canonical form, a known text by themselves."""
     lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
-    known = F.broadcast(docs.sparkSession.createDataFrame(sorted(known_digests().items()), "digest string, license_id string"))
-    return lines.select("doc_id", "line_no", F.sha2(canonical(F.col("line")), 256).alias("digest")).join(known, "digest").select("doc_id", "line_no", "license_id")
+    known = F.broadcast(docs.sparkSession.createDataFrame(sorted(look_up_digests().items()), "look_up string, license_id string"))
+    digests = lines.select("doc_id", "line_no", look_up_digest(F.col("line"), F.sha2(canonical(F.col("line")), 256)).alias("look_up"))
+    return digests.join(known, "look_up").select("doc_id", "line_no", "license_id")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -78,16 +101,17 @@ def scan(docs: DataFrame) -> DataFrame:
     units = docs.select(
         "doc_id", F.posexplode(F.concat(F.array(text), F.coalesce(F.split(text, "\n"), F.array().cast("array<string>")))).alias("place", "unit")
     )
-    known = F.broadcast(docs.sparkSession.createDataFrame(sorted(known_digests().items()), "text_digest string, license_id string"))
-    digests = units.select("doc_id", (F.col("place") - 1).cast("int").alias("unit_no"), F.sha2(canonical(F.col("unit")), 256).alias("text_digest"))
+    known = F.broadcast(docs.sparkSession.createDataFrame(sorted(look_up_digests().items()), "look_up string, license_id string"))
+    digests = units.select("doc_id", (F.col("place") - 1).cast("int").alias("unit_no"), "unit", F.sha2(canonical(F.col("unit")), 256).alias("text_digest"))
+    digests = digests.select("doc_id", "unit_no", "text_digest", look_up_digest(F.col("unit"), F.col("text_digest")).alias("look_up"))
     return (
-        digests.join(known, "text_digest", "left").where((F.col("unit_no") < 0) | F.col("license_id").isNotNull())
+        digests.join(known, "look_up", "left").where((F.col("unit_no") < 0) | F.col("license_id").isNotNull())
         .select("doc_id", "unit_no", "text_digest", "license_id")
     )
 
 
 def scan_sql() -> str:
-    """The same in DuckDB SQL over the view documents."""
+    """The same in DuckDB SQL over the view documents, but for what only look_up_digest leaves out and DIGESTS."""
     out = f"regexp_replace(lower(unit), '{COPYRIGHT_LINE}', '\\1', 'g')"
     for a, b in EQUIVALENT:
         out = f"replace({out}, '{a}', '{b}')"

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, or on odd rows and empty tables."""
 
 import hashlib
+import os
 import re
 import sys
 import zlib
@@ -65,6 +66,18 @@ def test_licenses(spark, sf, odd, none):
     assert sorted(map(tuple, licenses.scan(table(spark, sf, "documents")).collect()), key=str) == sorted(want, key=str)
 
 
+def test_whole_licenses(spark):
+    """Whole texts of long licenses, and copies whose copyright lines have no year or reserve all rights."""
+    folder = "/usr/share/common-licenses/"
+    files = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0-only", "GPL-2": "GPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "MPL-2.0": "MPL-2.0"}
+    rows = [(i, open(folder + f).read()) for i, f in enumerate(files) if os.path.exists(folder + f)]
+    want = {i: name for i, name in enumerate(files.values()) if i in dict(rows)}
+    bsd, mit = licenses.TEXTS["BSD-3-Clause"][0], licenses.TEXTS["MIT"][0]
+    rows += [(10, bsd.replace("Copyright (c) 2020, Holder", "Copyright (c) 1998, Holder\nAll rights reserved.")), (11, mit.replace("(c) 2020 Holder", "(c) Holder")), (12, mit.replace("Copyright (c) 2020", "©"))]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.license_id for r in got.collect()} == want | {10: "BSD-3-Clause", 11: "MIT", 12: "MIT"}
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
 
