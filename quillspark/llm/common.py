@@ -38,11 +38,21 @@ def durable(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """As durable, but as a Parquet table in that folder: smaller, and read by columns. For steps with many plain rows.
 
-    As with checkpoints, whoever owns the folder clears it when the application has ended.
+    discard() removes it; as with checkpoints, whoever owns the folder clears the rest when the application has ended.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of stored(). Only for those that nothing still reads: what was made of them is stored itself."""
+    for df in tables:
+        session = df.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import stored
+from quillspark.llm.common import discard, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame | None:
@@ -31,11 +31,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame | None
         up = stored(low.select(F.col("a").alias("node"), F.least(rank("a"), F.col("low"))["id"].alias("up")))
         parents.append(up)
         left, right = (up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}")) for c in "ab")
-        edges = edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("up_a <> up_b")
-        edges = stored(edges.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
+        moved = edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where("up_a <> up_b")
+        moved = stored(moved.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct())
+        discard(edges)
+        edges = moved
+    discard(edges)
     if not parents:
         return None
     out = parents[0].select("node", F.col("up").alias("root"))
     for up in parents[1:]:
         out = out.join(up.select(F.col("node").alias("root"), "up").hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-    return stored(out)
+    out = stored(out)
+    discard(*parents)
+    return out
