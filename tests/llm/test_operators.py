@@ -446,5 +446,5 @@ def test_line_similarity_brute_force(spark):
             b = "".join(c if draw.random() > rate else ("", "x", c + "y")[draw.integers(3)] for c in a)
             rows.append((a, b, bool(distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))))
     pairs = spark.createDataFrame(rows, "a string, b string, want boolean")
-    pairs = pairs.select("want", line_dedup.differences(pairs.a, pairs.b).alias("rest")).selectExpr("want", f"transform(rest, x -> {line_dedup.SIMILAR})[0] as got")
+    pairs = pairs.select("want", line_dedup.similar(pairs.a, pairs.b).alias("got"))
     assert pairs.where("got <> want or got is null").count() == 0 and {r.want for r in pairs.collect()} == {True, False}
