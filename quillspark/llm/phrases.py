@@ -114,7 +114,7 @@ class Text:
 
 
 def _part(table: pa.Table) -> pa.Table:
-    """Of the documents of one part of a shard: marked windows as runs (no hash), and first windows if the shard is salted."""
+    """Of the documents of one part of a shard: marked windows as runs, and, if the shard is salted, first ones as packs by span."""
     rows = sorted(table.to_pylist(), key=lambda r: (r["place"], r["row"]))
     unpack = zstandard.ZstdDecompressor().decompress
     texts = [Text(unpack(r["packed"])) for r in rows]
@@ -127,8 +127,6 @@ def _part(table: pa.Table) -> pa.Table:
     machine = automaton(sorted(set(phrases.values())))
     g1, g2, of, at = [], [], [], []
     for i, (r, t) in enumerate(zip(rows, texts, strict=True)):
-        if not r["member"]:
-            continue
         hit = occurrences(machine, t.words)
         if not len(hit) or not len(t.low):
             continue
@@ -140,10 +138,8 @@ def _part(table: pa.Table) -> pa.Table:
             g2.append(chained(t.hashes[1], WINDOW)[windows])
             of.append(np.full(len(windows), i))
             at.append(windows)
-    names = ("g1", "g2", "place", "row", "at", "n")
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2
     if not g1:
-        return pa.table([pa.array([], k) for k in kinds], names=names)
+        return pa.table([pa.array([], k) for k in KINDS], names=NAMES)
     g1, g2, of, at = (np.concatenate(x) for x in (g1, g2, of, at))
     order = np.lexsort((np.arange(len(g1)), g2, g1))  # rows are in the order of documents
     same = np.zeros(len(g1), bool)
@@ -157,21 +153,52 @@ def _part(table: pa.Table) -> pa.Table:
     origin[order] = head
     later &= ~((document[of] == document[of[origin]]) & (at == at[origin]))
     place, row = np.array([r["place"] for r in rows]), np.array([r["row"] for r in rows])
-    m_of, m_at = of[later], at[later]
-    cut = np.ones(len(m_of), bool)
-    cut[1:] = (m_of[1:] != m_of[:-1]) | (m_at[1:] != m_at[:-1] + 1)
-    first = np.flatnonzero(cut)
-    n = np.diff(np.append(first, len(m_of))).astype(np.int32)
-    none = pa.nulls(len(first), pa.int64())
-    marked = [none, none, pa.array(place[m_of[first]]), pa.array(row[m_of[first]]), pa.array(m_at[first].astype(np.int32)), pa.array(n)]
-    out = pa.table(marked, names=names)
-    if rows[0]["parts"] > 1:
-        o = ~later
-        kept = [pa.array(g1[o].view(np.int64)), pa.array(g2[o].view(np.int64)), pa.array(place[of[o]]), pa.array(row[of[o]]), pa.array(at[o].astype(np.int32))]
-        out = pa.concat_tables([out, pa.table([*kept, pa.array(np.ones(int(o.sum()), np.int32))], names=names)])
+    member = np.array([r["member"] for r in rows])[of]  # owners from other parts are only compared with
+    out = _marked(place[of], row[of], at, later & member, of)
+    if (parts := rows[0]["parts"]) > 1:
+        o = np.flatnonzero(~later & member)
+        span = (g1[o] % np.uint64(parts)).astype(np.int64)
+        o, span = o[np.argsort(span, kind="stable")], np.sort(span)
+        spans, first = np.unique(span, return_index=True)
+        fields = np.stack([g1[o].view(np.int64), g2[o].view(np.int64), place[of[o]], row[of[o]], at[o]], axis=1)
+        packs = [p.tobytes() for p in np.split(fields, first[1:])] if len(o) else []
+        n, shard = len(packs), rows[0]["shard"]
+        none = [pa.nulls(n, k) for k in KINDS[3:]]
+        out = pa.concat_tables([out, pa.table([pa.array([shard] * n, KINDS[0]), pa.array(spans.astype(np.int32)), pa.array(packs, KINDS[2]), *none], names=NAMES)])
     return out
 
 
+NAMES = ("shard", "span", "pack", "place", "row", "at", "n")
+KINDS = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+JUDGED = "shard int, span int, pack binary, place bigint, row bigint, at int, n int"
+
+
+def _marked(place: np.ndarray, row: np.ndarray, at: np.ndarray, mark: np.ndarray, of: np.ndarray) -> pa.Table:
+    """The marked ones of windows, which are in the order of documents (numbered by of) and places, as runs."""
+    place, row, at, of = place[mark], row[mark], at[mark], of[mark]
+    cut = np.ones(len(of), bool)
+    cut[1:] = (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(cut)
+    n = np.diff(np.append(first, len(of))).astype(np.int32)
+    none = [pa.nulls(len(first), k) for k in KINDS[:3]]
+    return pa.table([*none, pa.array(place[first]), pa.array(row[first]), pa.array(at[first].astype(np.int32)), pa.array(n)], names=NAMES)
+
+
+def _across(table: pa.Table) -> pa.Table:
+    """Of the windows in packs from all parts of a shard: those that also begin earlier, as runs."""
+    fields = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 5) for p in table.column("pack").to_pylist()])
+    g1, g2, place, row, at = fields[np.lexsort(fields.T[::-1])].T  # equal windows lie together, the earliest first
+    same = np.zeros(len(g1), bool)
+    same[1:] = (g1[1:] == g1[:-1]) & (g2[1:] == g2[:-1])
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(g1))))
+    late = same & ((place != place[head]) | (row != row[head]) | (at != at[head]))
+    order = np.lexsort((at, row, place))
+    place, row, at, late = place[order], row[order], at[order], late[order]
+    other = np.zeros(len(place), np.int64)
+    other[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
+    return _marked(place, row, at, late, np.cumsum(other))
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
@@ -213,13 +240,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     ways = ways.select("place", "shard", "parts", "own", "part", F.explode(every).alias("to"))
     sent = _packed(rows).join(ways, "place")
     sent = sent.select("place", "row", "packed", "shard", "parts", "to", "own", (F.col("to") == F.col("part")).alias("member"))
-    judged = durable(sent.groupBy("shard", "to").applyInArrow(_part, "g1 bigint, g2 bigint, place bigint, row bigint, at int, n int"))
-    marked = judged.where("g1 is null").select("place", "row", "at", "n")
-    firsts = judged.where("g1 is not null")
-    spot = F.struct("place", "row", "at")
-    lowest = firsts.groupBy("g1", "g2").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low <> high")
-    late = firsts.join(lowest, ["g1", "g2"]).where(spot != F.col("low")).select("place", "row", "at", "n")
-    return marked.unionByName(late)
+    judged = durable(sent.groupBy("shard", "to").applyInArrow(_part, JUDGED))
+    late = judged.where("pack is not null").select("shard", "span", "pack").groupBy("shard", "span").applyInArrow(_across, JUDGED)
+    return judged.where("pack is null").unionByName(late).select("place", "row", "at", "n")
 
 
 def _without(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
