@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Fixed values.
 PLACEHOLDER_TRIM = "№|наот_*!"
 EMPTY_NUMBER = r"(?iu)№\s*_*$|№\s*_*от_*$|№\.*$|№\s?\.*от.*$|№\s*(на)?$"
+CYRILLIC, SPACE = "[А-Яа-яЁё]", r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+UNKNOWN = "не определён"
+#: The lower ends are Latin letters that look like Cyrillic ones, hence the code points.
 MIXED_UPPER, MIXED_ANY = r"[\x{41}-\x{42F}]", r"[\x{61}-\x{44F}]"
 
 
@@ -27,7 +30,7 @@ def is_upper(text: Column) -> Column:
 def char_shares(text: Column) -> dict[str, Column]:
     """Shares of Cyrillic, Latin, digit, space and other characters, to 5 digits; null for an empty text."""
     n = F.length(text)
-    parts = {"is_cirillic": "[А-Яа-я]", "is_latin": "[A-Za-z]", "is_number": "[0-9]", "is_space": r"\s"}
+    parts = {"is_cirillic": CYRILLIC, "is_latin": "[A-Za-z]", "is_number": "[0-9]", "is_space": SPACE}
     counts = {name: count_of(text, p) for name, p in parts.items()}
     counts["is_other"] = n - sum(counts.values(), F.lit(0))
     return {name: F.round(F.try_divide(c.cast("double"), n), 5) for name, c in counts.items()}
@@ -46,7 +49,7 @@ def dot_count(text: Column) -> Column:
 
 
 def space_ratio(text: Column) -> Column:
-    return count_of(text, " ") / (count_of(text, "[А-Яа-я]") + F.lit(1e-4))
+    return count_of(text, " ") / (count_of(text, CYRILLIC) + F.lit(1e-4))
 
 
 def unspaced(text: Column) -> Column:
@@ -54,10 +57,15 @@ def unspaced(text: Column) -> Column:
     return F.when(space_ratio(text) >= 0.6, F.replace(text, F.lit(" "), F.lit(""))).otherwise(text)
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+
+
 def subject(text: Column) -> Column:
     """The first sentence that begins with "О " or "Об ", if not over 200 characters; null otherwise."""
     found = F.regexp_extract(text, r"(?U)(\s|^)Об?\s[а-яА-Я]{3,100}.*", 0)
-    return F.when((found != "") & (F.length(found) <= 200), F.trim(F.translate(found, "_", " ")))
+    return F.when((found != "") & (F.length(found) <= 200), stripped(F.translate(found, "_", " ")))
 
 
 def outgoing_number(text: Column) -> Column:
@@ -81,8 +89,32 @@ def clean_number(number: Column) -> Column:
 
 
 def clean_name(text: Column) -> Column:
-    """Lower case; anything but letters, digits, _, points and white space is a space."""
-    return F.regexp_replace(F.lower(text), r"(?U)[^\w\s\.]", " ")
+    """Lower case; anything but letters, digits, _, points and white space is a space, at the ends nothing. Nothing left: UNKNOWN."""
+    clean = stripped(F.regexp_replace(F.lower(text), r"(?U)[^\w\s\.]", " "))
+    return F.coalesce(F.nullif(clean, F.lit("")), F.lit(UNKNOWN))
+
+
+def clean_signer(text: Column) -> Column:
+    """A signer's name in both formats' common form; UNKNOWN if there is none."""
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(UNKNOWN)).otherwise(format_fullname(format_fio(text), False))
+
+
+def filtered_words(text: Column) -> Column:
+    """Words without anything but letters, digits, _ and points; what falls apart are several words."""
+    return words(F.regexp_replace(text, r"(?U)[^\w\s\.]", " "))
+
+
+def name_in(text: Column, found: Column | None = None) -> Column:
+    """The first of the names `found` by a tagger, else the first surname with two initials in the text; null if there is none."""
+    own = F.regexp_extract(text, r"[А-Я]\.[А-Я]\.\s{0,3}[А-Я][а-я]{2,30}|[А-Я][а-я]{2,30}\s{0,3}[А-Я]\.[А-Я]\.", 0)
+    return F.nullif(own, F.lit("")) if found is None else F.coalesce(F.get(found, F.lit(0)), F.nullif(own, F.lit("")))
+
+
+def comparable_names(a: Column, b: Column) -> tuple[Column, Column]:
+    """Both as initials and surname if both have that form, else the longest word of each; texts a over 50 characters leave both as they are."""
+    x, y = format_fullname(a), format_fullname(b)
+    both = x.rlike(INITIALS_FIRST) & y.rlike(INITIALS_FIRST)
+    return tuple(F.when(F.length(a) > 50, raw).when(both, form).otherwise(longest_token(form)) for raw, form in ((a, x), (b, y)))
 
 
 def letters_only(text: Column) -> Column:
@@ -96,34 +128,45 @@ def split_fio(text: Column) -> list[Column]:
 
 
 def format_fio(text: Column) -> Column:
-    """"Surname F. M." from tokens in any order: the longest token is the surname. Two tokens: the second stays as it is."""
-    clean = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?U)[\d_]|[^\w\s]", " "), r"(?U)\s+", " "))
-    tokens = F.filter(F.split(clean, " "), lambda t: t != "")
+    """Tokens from the longest to the shortest, of equal ones the first: of three "Surname F.M.", of two "Surname f".
+
+    Only single letters of three become initials; longer tokens stay whole and are joined without spaces. Digits and
+    signs go. Texts of more than three tokens only lose these.
+    """
+    bare = F.regexp_replace(text, r"(?U)\d\.|\d", " ")
+    clean = stripped(F.regexp_replace(bare, r"(?U)[^\w\s\.]", ""))
+    row = F.regexp_replace(F.when(clean != "", clean).otherwise(bare), r"(?U)\s+", " ")
+    tokens = F.filter(F.split(row, r"(?U)[\s\.]"), lambda t: t != "")
     order = F.transform(tokens, lambda t, i: F.struct((-F.length(t)).alias("n"), i.alias("i"), t.alias("t")))
     t = F.transform(F.array_sort(order), lambda s: s["t"])
-    first = F.initcap(F.get(t, F.lit(0)))
-    initials = [F.concat(F.upper(F.substring(F.get(t, F.lit(i)), 1, 1)), F.lit(".")) for i in (1, 2)]
+    first = F.concat(F.initcap(F.get(t, F.lit(0))), F.lit(" "))
+    initial = lambda i: F.when(F.length(F.get(t, F.lit(i))) == 1, F.concat(F.upper(F.get(t, F.lit(i))), F.lit("."))).otherwise(F.get(t, F.lit(i)))
     return (
-        F.when(F.size(t) >= 3, F.concat_ws(" ", first, *initials)).when(F.size(t) == 2, F.concat_ws(" ", first, F.get(t, F.lit(1))))
-        .when(F.size(t) == 1, F.get(t, F.lit(0)))
+        F.when(F.size(t) == 3, F.concat(first, initial(1), initial(2))).when(F.size(t) == 2, F.concat(first, F.get(t, F.lit(1))))
+        .when(F.size(t) == 1, F.get(t, F.lit(0))).otherwise(row)
     )
 
 
+INITIALS_FIRST = rf"\b{MIXED_UPPER}\.\s{{0,8}}[А-Я]\.\s{{0,8}}{MIXED_UPPER}{MIXED_ANY}{{2,34}}"
+
+
 def format_fullname(text: Column, initials_first: bool = True) -> Column:
-    """ "F.M. Surname" and "Surname F.M." into one of both orders; other texts stay."""
-    front = rf"^\s*({MIXED_UPPER})\.\s*({MIXED_UPPER})\.\s*({MIXED_UPPER}{MIXED_ANY}+)\s*$"
-    back = rf"^\s*({MIXED_UPPER}{MIXED_ANY}+)\s*({MIXED_UPPER})\.\s*({MIXED_UPPER})\.?\s*$"
-    to_front, to_back = ("$2.$3. $1", "$3 $1.$2.")
-    return (
-        F.when(text.rlike(front), F.regexp_replace(text, front, "$1.$2. $3" if initials_first else to_back))
-        .when(text.rlike(back), F.regexp_replace(text, back, to_front if initials_first else "$1 $2.$3."))
-        .otherwise(text)
-    )
+    """The first "F.M. Surname" or "Surname F.M." in the text, in the order wanted; texts without one stay.
+
+    A name is found inside longer texts, too; the words around it are left out.
+    """
+    front = rf"(?U)\b({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.\s{{0,8}}({MIXED_UPPER}{MIXED_ANY}{{2,34}})"
+    back = rf"(?U)\b([А-Я][а-я]{{2,34}})\s{{0,8}}({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.?"
+    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
+    shape = "%s.%s. %s" if initials_first else "%3$s %1$s.%2$s."
+    of = {front: F.format_string(shape, *[part(front, i) for i in (1, 2, 3)]), back: F.format_string(shape, *[part(back, i) for i in (2, 3, 1)])}
+    one, other = (front, back) if initials_first else (back, front)
+    return F.when(text.rlike(one), of[one]).when(text.rlike(other), of[other]).otherwise(text)
 
 
 def without_placeholder(text: Column) -> Column:
-    """Null for texts that begin with a placeholder of a name."""
-    return F.when(~text.rlike(r"(?iu)^(инициалы|и\.?\s?о\.?\s?фамилия|фио|фамилия)"), text)
+    """Null for texts that begin with a placeholder of a name. Fixed values."""
+    return F.when(~text.rlike(r"(?iu)^(подписант|руководитель|получатель|фамилия|фио)"), text)
 
 
 def longest_token(text: Column) -> Column:

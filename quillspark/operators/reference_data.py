@@ -15,8 +15,8 @@ ONE_LETTER = ("Ю", "Е", "О", "И")
 
 
 def clean_partners(partners: DataFrame) -> DataFrame:
-    """Available partners of type 0, once each, in lower case; no numbers, placeholders or names under three characters."""
-    out = partners.where("partner_type = 0 and not coalesce(partner_not_available, false)").dropDuplicates(["partner_id", "partner_name"])
+    """Partners of type 0 known to be available, once each, in lower case; no numbers, placeholders or names under three characters."""
+    out = partners.where("partner_type = 0 and not partner_not_available").dropDuplicates(["partner_id", "partner_name"])
     out = out.withColumn("partner_name", F.lower("partner_name")).withColumn("partner_full_name", F.lower("partner_full_name"))
     out = out.na.drop(subset=["partner_name"]).where(F.col("partner_name").try_cast("double").isNull())
     return out.where(~F.col("partner_name").isin(*PARTNER_STOP) & (F.length("partner_name") >= 3))

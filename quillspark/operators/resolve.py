@@ -45,17 +45,47 @@ def fuzzy_pairs(left: DataFrame, a: str, right: DataFrame, b: str, least: float,
     return met.select(a, b, S.indel_ratio(F.col("form_a"), F.col("form_b")).alias("sim")).where(F.col("sim") >= least)
 
 
+def canonical_sender(sender: Column, known: list[tuple[str, list[str]]]) -> Column:
+    """The first of the known names of which it, or one of its other forms, has a Jaro-Winkler similarity of 0.9 at least; else the sender."""
+    out = sender
+    for name, forms in reversed(known):
+        best = F.greatest(*[S.jaro_winkler_ratio(sender, F.lit(x)) for x in (name, *forms, name)])
+        out = F.when(best >= 0.9, F.lit(name)).otherwise(out)
+    return out
+
+
+def _bare(name: Column) -> Column:
+    return F.regexp_replace(name, "[#_\"']", "")
+
+
+def sender_score(sender: Column, name: Column) -> Column:
+    """Sorted-token similarity from 95, else partial similarity from 90, else 0; 0 if one is null. The sender counts in small letters."""
+    a, b = _bare(F.lower(sender)), _bare(name)
+    sorted_, part = S.token_sort_ratio(a, b), S.partial_ratio(a, b)
+    return F.coalesce(F.when(sorted_ >= 95, sorted_).when(part >= 90, part), F.lit(0.0))
+
+
+def _grams(name: Column) -> Column:
+    """What two names with a score have in common at least once: 90 % of the shorter one, in no more runs than lets one have three characters."""
+    body = F.regexp_replace(_bare(F.lower(name)), r"(?U)\s+", "")
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(body) - 2, F.lit(1))), lambda i: F.substring(body, i, 3)))
+
+
 def resolve_sender(queries: DataFrame, partners: DataFrame, least: float = 90.0) -> DataFrame:
-    """(sender, ids): partners whose name or full name equals the sender, else all with the greatest fuzzy similarity.
+    """(sender, ids): partners whose name or full name equals the sender, else all with the greatest sender_score of both.
 
-    queries has sender; partners has partner_id, partner_name, partner_full_name. Null senders have no ids.
+    queries has sender; partners has partner_id, partner_name, partner_full_name. Null senders have no ids. Names meet
+    if they share three characters, spaces left out; only distinct names meet.
     """
     wanted = queries.select("sender").where("sender is not null").distinct()
     exact = exact_union(wanted, "sender", partners, ["partner_name", "partner_full_name"], "partner_id")
     rest = wanted.join(exact, "sender", "left_anti")
-    close = fuzzy_pairs(rest, "sender", partners, "partner_name", least)
-    best = close.withColumn("top", F.max("sim").over(Window.partitionBy("sender"))).where("sim = top").select("sender", "partner_name")
-    fuzzy = best.join(partners.select("partner_name", "partner_id"), "partner_name").select("sender", "partner_id")
+    names = partners.select("partner_id", F.explode(F.array("partner_name", "partner_full_name")).alias("name")).where("name is not null")
+    left = rest.select("sender", F.explode(_grams(F.col("sender"))).alias("gram"))
+    right = names.select("name").distinct().select("name", F.explode(_grams(F.col("name"))).alias("gram"))
+    met = left.join(right, "gram").select("sender", "name").distinct().withColumn("sim", sender_score(F.col("sender"), F.col("name"))).where(F.col("sim") >= least)
+    best = met.withColumn("top", F.max("sim").over(Window.partitionBy("sender"))).where("sim = top").select("sender", "name")
+    fuzzy = best.join(names, "name").select("sender", "partner_id").distinct()
     ids = exact.select("sender", "partner_id").unionByName(fuzzy).groupBy("sender").agg(F.array_sort(F.collect_set("partner_id")).alias("ids"))
     return wanted.join(ids, "sender", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
 

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillspark.functions import dates as D
 from quillspark.functions import similarity as S
 from quillspark.functions import text as T
-from quillspark.operators import cluster, evaluate, groups, layout, resolve, search
+from quillspark.operators import cluster, entities, evaluate, groups, layout, resolve, search
 from quillspark.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,18 +73,23 @@ def l2_normalised_vectors(spark, sf):
     return v.select("vec_id", F.round(S.norm(F.col("v")), 6).alias("norm"))
 
 
-SQL["l2_normalised_vectors"] = "SELECT vec_id, 1.0::DOUBLE AS norm FROM embeddings"
+SQL["l2_normalised_vectors"] = """SELECT vec_id, round(sqrt(list_dot_product(v, v)), 6) AS norm
+    FROM (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS v FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings))"""
 
 # --- text ---------------------------------------------------------------------------------------------------------
 
 
+#: White space of any kind.
+WHITE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+
+
 def _count(pattern: str) -> str:
     return f"length(regexp_replace(text, '[^{pattern}]', '', 'g'))"
 
 
-@query(f"""SELECT doc_id, round({_count('А-Яа-я')} / length(text)::DOUBLE, 5) AS is_cirillic, round({_count('A-Za-z')} / length(text)::DOUBLE, 5) AS is_latin,
-    round({_count('0-9')} / length(text)::DOUBLE, 5) AS is_number, round({_count(' \\t\\n\\r\\f')} / length(text)::DOUBLE, 5) AS is_space,
-    round((length(text) - {_count('А-Яа-я')} - {_count('A-Za-z')} - {_count('0-9')} - {_count(' \\t\\n\\r\\f')}) / length(text)::DOUBLE, 5) AS is_other FROM documents WHERE length(text) > 0""")
+@query(f"""SELECT doc_id, round({_count('А-Яа-яЁё')} / length(text)::DOUBLE, 5) AS is_cirillic, round({_count('A-Za-z')} / length(text)::DOUBLE, 5) AS is_latin,
+    round({_count('0-9')} / length(text)::DOUBLE, 5) AS is_number, round({_count(WHITE)} / length(text)::DOUBLE, 5) AS is_space,
+    round((length(text) - {_count('А-Яа-яЁё')} - {_count('A-Za-z')} - {_count('0-9')} - {_count(WHITE)}) / length(text)::DOUBLE, 5) AS is_other FROM documents WHERE length(text) > 0""")
 def text_char_shares(spark, sf):
     docs = table(spark, sf, "documents").where(F.length("text") > 0)
     return docs.select("doc_id", *[c.alias(n) for n, c in T.char_shares(F.col("text")).items()])
@@ -121,7 +127,7 @@ def whitespace_collapse(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(T.collapse(F.col("text"))).alias("digest"))
 
 
-@query("SELECT doc_id, md5(regexp_replace(lower(text), '[^\\p{L}\\p{M}\\p{N}_\\s.]', ' ', 'g')) AS digest FROM documents")
+@query("SELECT doc_id, md5(coalesce(nullif(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{M}\\p{N}_\\s.]', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), ''), 'не определён')) AS digest FROM documents")
 def clean_names(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(T.clean_name(F.col("text"))).alias("digest"))
 
@@ -168,13 +174,13 @@ def lag_distance(spark, sf):
     return layout.lag_distance(rows, ["user_id"], ["ts", "event_id"]).select("event_id", F.round("distance_y", 6).alias("distance"))
 
 
-@query(f"""SELECT doc_id, line_no, l AS blocks_on_the_left, n - l - 1 AS blocks_on_the_right, round(l / n::DOUBLE, 6) AS location_on_the_page, round(log2((l + 1) / n::DOUBLE), 6) AS location_ratio_left
+@query(f"""SELECT doc_id, line_no, l AS blocks_on_the_left, n - l - 1 AS blocks_on_the_right, round(l / n::DOUBLE, 6) AS location_on_the_page, round(log2((l + 1) / (n - l)::DOUBLE), 6) AS location_ratio_left, round(log2((n - l) / (l + 1)::DOUBLE), 6) AS location_ratio_right
     FROM (SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS l, count(*) OVER (PARTITION BY doc_id) AS n FROM ({LINES}))""")
 def location_features(spark, sf):
     out = layout.location_features(lines_of(table(spark, sf, "documents")), ["doc_id"], ["line_no"])
     return out.select(
         "doc_id", "line_no", F.col("blocks_on_the_left").cast("bigint").alias("blocks_on_the_left"), F.col("blocks_on_the_right").cast("bigint").alias("blocks_on_the_right"),
-        F.round("location_on_the_page", 6).alias("location_on_the_page"), F.round("location_ratio_left", 6).alias("location_ratio_left"),
+        F.round("location_on_the_page", 6).alias("location_on_the_page"), F.round("location_ratio_left", 6).alias("location_ratio_left"), F.round("location_ratio_right", 6).alias("location_ratio_right"),
     )
 
 
@@ -486,3 +492,106 @@ def kmeans_labels(spark, sf):
 def rf_predict(spark, sf):
     rows = groups.hash_split(table(spark, sf, "embeddings"), "vec_id", 70)
     return cluster.forest(rows.where("part = 'train'"), rows.where("part = 'test'"), "vec_id", "embedding", "label")
+
+
+# --- letters: the same rules on texts made of the tables' columns -------------------------------------------------
+
+MONTH_WORDS = list(D.MONTHS)
+
+
+def _letters(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, day and two texts for each order: a number and a date in figures, or with the month's name."""
+    o = table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate"))
+    month = F.element_at(F.array(*map(F.lit, MONTH_WORDS)), F.month("day"))
+    head = F.concat(F.lit("Исх. № "), F.col("o_orderkey").cast("string"), F.lit("/"), F.col("o_custkey").cast("string"), F.lit("\nот  "))
+    figures = F.concat(head, F.date_format("day", "dd.MM.yyyy"), F.lit(" г."))
+    worded = F.concat(head, F.lit("«"), F.date_format("day", "d"), F.lit("» "), month, F.date_format("day", " yyyy"), F.lit(" г."))
+    return o.select(F.col("o_orderkey").alias("doc_id"), "day", figures.alias("figures"), worded.alias("worded"))
+
+
+@query("""SELECT doc_id, strftime(day, '%d.%m.%Y') AS figures, place AS figures_start, place + 12 AS figures_end, strftime(day, '%d.%m.%Y') AS worded, place AS worded_start
+    FROM (SELECT o_orderkey AS doc_id, o_orderdate::DATE AS day, length(o_orderkey::VARCHAR || o_custkey::VARCHAR) + 11 AS place FROM orders)""")
+def letter_dates(spark, sf):
+    """Dates in both spellings are found with the white space before them, and read."""
+    rows = _letters(spark, sf).select("doc_id", D.find_date(F.col("figures")).alias("f"), D.find_date(F.col("worded")).alias("w"))
+    read = lambda c: D.rendered(D.dated(F.col(c), F.lit(False)))
+    big = lambda c, name: F.col(c).cast("bigint").alias(name)
+    return rows.select("doc_id", read("f.text").alias("figures"), big("f.start", "figures_start"), big("f.end", "figures_end"), read("w.text").alias("worded"), big("w.start", "worded_start"))
+
+
+@query("SELECT o_orderkey AS doc_id, '№ ' || o_orderkey || '/' || o_custkey AS found, o_orderkey || '/' || o_custkey AS number FROM orders")
+def letter_numbers(spark, sf):
+    rows = _letters(spark, sf).withColumn("found", T.outgoing_number(F.col("figures"))).where(T.is_filled(F.col("found")))
+    return rows.select("doc_id", "found", T.clean_number(F.col("found")).alias("number"))
+
+
+#: Surnames and initials by key.
+SURNAMES, LETTERS = ("Иванов", "Петрова", "Семёнова", "Орлов", "Кузнецов"), "АБВГДИКЛМН"
+NAMED = f"""SELECT c_custkey, ({list(SURNAMES)})[c_custkey % 5 + 1] AS surname, substr('{LETTERS}', (c_custkey % 10 + 1)::INT, 1) AS f, substr('{LETTERS}', (c_custkey // 10 % 10 + 1)::INT, 1) AS m FROM customer
+    WHERE c_custkey % 5 <> 2"""
+
+
+def _signers(spark: SparkSession, sf: str) -> DataFrame:
+    """Surname (none with ё, which the pattern of names leaves out) and initials for each customer."""
+    c = table(spark, sf, "customer").where("c_custkey % 5 <> 2")
+    letter = lambda at: F.substring(F.lit(LETTERS), at.cast("int") + 1, F.lit(1))
+    return c.select("c_custkey", F.get(F.array(*map(F.lit, SURNAMES)), (F.col("c_custkey") % 5).cast("int")).alias("surname"), letter(F.col("c_custkey") % 10).alias("f"), letter(F.floor(F.col("c_custkey") / 10) % 10).alias("m"))
+
+
+@query(f"""SELECT c_custkey, f || '.' || m || '. ' || surname AS front, surname || ' ' || f || '.' || m || '.' AS back, surname || ' ' || f || '.' || m || '.' AS fio, f || '.' || m || '. ' || surname AS found,
+    surname AS last, f AS first, m AS middle FROM ({NAMED})""")
+def name_formats(spark, sf):
+    """Names inside longer texts, in both orders; tokens in any order and case; parts of a name."""
+    n = _signers(spark, sf)
+    inside = F.concat(F.lit("Директор "), "surname", F.lit(" "), "f", F.lit(". "), "m", F.lit(". (подпись)"))
+    front = F.concat(F.lit("подписал "), "f", F.lit("."), "m", F.lit(". "), "surname")
+    last, first, middle = T.split_fio(F.concat("surname", F.lit(" "), "f", F.lit("."), "m", F.lit(".")))
+    return n.select(
+        "c_custkey", T.format_fullname(inside).alias("front"), T.format_fullname(front, False).alias("back"), T.format_fio(F.concat(F.lower("f"), F.lit(". "), F.lower("m"), F.lit(". "), F.upper("surname"), F.lit(" 12"))).alias("fio"),
+        T.name_in(front).alias("found"), last.alias("last"), first.alias("first"), middle.alias("middle"),
+    )
+
+
+@query("""SELECT s_suppkey, md5('ооо  поставщик ' || s_suppkey) AS name, 'не определён' AS empty FROM supplier""")
+def sender_cleaning(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit(" ООО «Поставщик "), F.col("s_suppkey").cast("string"), F.lit("»\n")).alias("t"))
+    return s.select("s_suppkey", F.md5(T.clean_name(F.col("t"))).alias("name"), T.clean_name(F.lit(" «» ")).alias("empty"))
+
+
+@query("""SELECT s_suppkey AS id, 1 AS n, s_suppkey AS best FROM supplier""")
+def sender_resolution(spark, sf):
+    """Each supplier by its name as a letter may have it, with signs and capitals: the exact tier misses, the fuzzy one finds it alone."""
+    s = table(spark, sf, "supplier").select("s_suppkey", F.lower("s_name").alias("name"))
+    partners = s.select(F.col("s_suppkey").cast("string").alias("partner_id"), F.concat(F.lit("ооо "), F.col("name")).alias("partner_name"), F.lit(None).cast("string").alias("partner_full_name"))
+    asked = s.select("s_suppkey", F.concat(F.lit("ООО '"), F.upper("name"), F.lit("'")).alias("sender"))
+    found = resolve.resolve_sender(asked, partners)
+    return asked.join(found, "sender").select(F.col("s_suppkey").alias("id"), F.size("ids").alias("n"), F.get("ids", F.lit(0)).cast("bigint").alias("best"))
+
+
+@query("""SELECT p_partkey, round(hits / n, 3) AS precision, round(hits / n, 3) AS recall FROM (SELECT p_partkey, len(w)::DOUBLE AS n,
+    (SELECT count(*) FROM (SELECT unnest(w) AS a) x, (SELECT unnest(w) AS b) y WHERE a = b)::DOUBLE AS hits FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part WHERE p_name <> '')) WHERE hits <= n""")
+def word_precision_recall(spark, sf):
+    """Words of a name against the same name with signs: each word hits itself."""
+    p = table(spark, sf, "part").where("p_name <> ''")
+    both = evaluate.word_matches(F.concat(F.lit("«"), "p_name", F.lit("»")), F.col("p_name"))
+    n, w = F.size(F.split("p_name", " ")), F.split("p_name", " ")
+    hits = F.aggregate(w, F.lit(0), lambda s, a: s + F.size(F.filter(w, lambda b: a == b)))
+    return p.where(hits <= n).select("p_partkey", both.alias("r")).select("p_partkey", "r.precision", "r.recall")
+
+
+@query()
+def letter_entities(spark, sf):
+    """The whole chain on documents as letters: nested tree, block features, candidates, entities. Scores stand in for the model."""
+    d = table(spark, sf, "documents").where("text is not null and text <> ''")
+    lines = F.filter(F.split("text", "\n"), lambda x: x != "")
+    n = F.size(lines)
+    block = lambda x, i: F.struct(
+        x.alias("text"), F.array(F.lit(10.0), 100.0 - (i + 1) * 100.0 / (n + 1), F.lit(90.0), 100.0 - i * 100.0 / (n + 1)).alias("coords"), F.lit("Arial").alias("font_name"), F.lit(12.0).alias("font_size_pt")
+    )
+    page = F.struct(F.lit(1).alias("page_num"), F.array(*map(F.lit, (0.0, 0.0, 80.0, 100.0))).alias("meta"), F.transform(lines, block).alias("blocks"))
+    tree = d.select(F.col("doc_id").cast("string").alias("doc_id"), F.array(F.struct(F.lit("f").alias("id"), F.lit(1).alias("order"), F.lit(".pdf").alias("extension"), F.array(page).alias("pages"))).alias("files"))
+    blocks = layout.letter_features(tree)[0].withColumn("proba", F.round(1 - F.col("location_on_the_page"), 6))
+    return entities.predict_entities(
+        blocks, entities.predict_sender(blocks), entities.predict_signer(blocks), entities.predict_date(entities.date_candidates(blocks)),
+        entities.predict_number(entities.number_candidates(blocks)), entities.predict_content(blocks),
+    )

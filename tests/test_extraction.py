@@ -48,21 +48,59 @@ def test_texts(spark):
     assert one(spark, T.outgoing_number, "исх. № 12/3 от") == "№ 12/3" and one(spark, T.outgoing_number, "нет") is None
     assert one(spark, T.is_filled, "№ 12") and not one(spark, T.is_filled, "№ ____")
     assert one(spark, T.trimmed_number, "№ 12-а н") == " 12-а " and one(spark, T.clean_number, "№ 7»—") == "7" and one(spark, T.clean_number, "№_") is None
-    assert one(spark, T.clean_name, "ООО «Ромашка»") == "ооо  ромашка " and one(spark, T.unspaced, "П И С Ь М О") == "ПИСЬМО"
-    assert one(spark, T.format_fio, "Петр Александрович Иванов-") == "Александрович И. П." and one(spark, T.format_fio, "и Иванов") == "Иванов и"
+    assert one(spark, T.clean_name, "ООО «Ромашка»") == "ооо  ромашка" and one(spark, T.clean_name, "«»") == one(spark, T.clean_name, None) == "не определён" and one(spark, T.unspaced, "П И С Ь М О") == "ПИСЬМО"
+    assert one(spark, T.subject, "\tО направлении отчёта\n") == "О направлении отчёта"
+    assert one(spark, T.format_fio, "Петр Александрович Иванов-") == "Александрович ИвановПетр" and one(spark, T.format_fio, "и Иванов") == "Иванов и"
+    assert one(spark, T.format_fio, "12. иванов и. п.") == "Иванов И.П." and one(spark, T.format_fio, "а б в  г!") == "а б в г" and one(spark, T.format_fio, "") == ""
     assert one(spark, lambda c: T.format_fullname(c, True), "Иванов И.П.") == "И.П. Иванов"
-    assert one(spark, T.without_placeholder, "И.О. Фамилия") is None and one(spark, T.longest_token, "аб где жз") == "где"
+    assert one(spark, T.format_fullname, "Директор Иванов И. П. (подпись)") == one(spark, T.format_fullname, "И.П.Иванов") == "И.П. Иванов" and one(spark, T.format_fullname, "Иванов") == "Иванов"
+    assert one(spark, lambda c: T.format_fullname(c, False), "подписал И.П. Иванов") == "Иванов И.П."
+    assert one(spark, T.without_placeholder, "И.О. Фамилия") == "И.О. Фамилия" and one(spark, T.without_placeholder, "Руководитель Р.Р.") is None and one(spark, T.longest_token, "аб где жз") == "где"
 
 
 def test_dates(spark):
-    assert one(spark, D.find_date, "от 12.03.2021 и 1 мая 2020").asDict() == {"text": "12.03.2021", "start": 3, "end": 13}
+    assert one(spark, D.find_date, "от 12.03.2021 и 1 мая 2020").asDict() == {"text": " 12.03.2021", "start": 2, "end": 13}
     assert one(spark, D.find_date, "нет").asDict() == {"text": None, "start": -1, "end": -1}
-    assert one(spark, D.parse_date, "«5» Августа 2021 г.") == datetime.date(2021, 8, 5) and one(spark, D.parse_date, "31.02.2021") is None
+    assert one(spark, D.parse_date, "«5» августа 2021 г.") == datetime.date(2021, 8, 5) and one(spark, D.parse_date, "5 Августа 2021") is None and one(spark, D.parse_date, "№5 сен 2021_") == datetime.date(2021, 9, 5) and one(spark, D.parse_date, "31.02.2021") is None
     assert one(spark, D.parse_date, "1.02.21") == datetime.date(2021, 2, 1)
     show = lambda c: D.rendered(D.dated(c, F.lit(False)))
     assert one(spark, show, "1.02.21") == "01.02.2021" and one(spark, show, "?") == D.UNKNOWN
 
 
+def test_dates_of_replies(spark):
+    """What stands around "от" behind "на №" is one space, across line breaks."""
+    text = "На № 12\nот 01.02.2021 и далее, письмо зарегистрировано 03.04.2021"
+    got = one(spark, lambda c: D.find_date(c, True), text)
+    assert (got.text, got.start, got.end) == (" 03.04.2021", 24, 35)
+    shares = spark.createDataFrame([("ёёаа\u00a0",)], "t string").select(*[c.alias(n) for n, c in T.char_shares(F.col("t")).items()]).first()
+    assert (shares.is_cirillic, shares.is_space, shares.is_other) == (0.8, 0.2, 0.0)
+
+
+def test_names(spark):
+    assert one(spark, T.clean_signer, "и.п. ИВАНОВ") == "Иванов И.П." and one(spark, T.clean_signer, None) == "не определён"
+    assert one(spark, T.filtered_words, " ООО «Ромашка-плюс» ") == ["ООО", "Ромашка", "плюс"] and one(spark, T.name_in, "от Иванов И.П. и") == "Иванов И.П."
+    pair = lambda c: F.struct(*T.comparable_names(c, F.lit("Иванов И.П.")))
+    assert tuple(one(spark, pair, "И.П. Иванов")) == ("И.П. Иванов", "И.П. Иванов") and tuple(one(spark, pair, "директор Иванова")) == ("директор", "Иванов")
+    assert tuple(one(spark, pair, "x" * 51)) == ("x" * 51, "Иванов И.П.")
+
+
+def test_similarities_of_names(spark):
+    """Hits by Jaro-Winkler over 0.9; long texts and low blocks score 0; first known name over 0.9."""
+    from quillspark.operators import evaluate
+
+    got = one(spark, lambda c: evaluate.word_matches(c, F.lit("ромашка завод")), "ромашки «завод» иной")
+    assert (got.precision, got.recall) == (0.667, 1.0) and tuple(one(spark, lambda c: evaluate.word_matches(c, F.lit("")), "а")) == (0.0, 0.0)
+    sim = lambda c: evaluate.name_similarity(c, F.lit("MARTHA"))
+    assert abs(one(spark, sim, "Marhta") - 96.1111) < 1e-3 and one(spark, sim, "m" * 51) == 0
+    part = lambda y: lambda c: evaluate.sender_similarity(F.lit(y), c, F.lit("Завод"))
+    assert one(spark, part(0.7), "ООО завод плюс") == 100 and one(spark, part(0.5), "завод") == 0
+    known = [("ооо ромашка", ["ромашка"]), ("зао завод", [])]
+    name = lambda c: resolve.canonical_sender(c, known)
+    assert one(spark, name, "ромашки") == "ооо ромашка" and one(spark, name, "зао заводы") == "зао завод" and one(spark, name, "иное") == "иное"
+    score = lambda c: resolve.sender_score(c, F.lit("ооо завод"))
+    assert one(spark, score, "ЗАВОД #ооо") == 100 and one(spark, score, "письмо ооо завод от") == 100 and one(spark, score, "ооо ромашка") == 0 and one(spark, score, None) == 0
+
+
 def test_entities(spark):
     rows = [("a", 1, 0, "О поставке оборудования", 0.9, 0.1, 0.9, 0.2), ("a", 1, 1, "№ 17 от 02.03.2021", 0.8, 0.1, 0.8, 0.6), ("a", 1, 2, "ООО Завод", 0.7, 0.1, 0.7, 0.9), ("b", 1, 0, "пусто", 0.9, 0.1, 0.9, 0.1)]
     blocks = spark.createDataFrame(rows, "doc_id string, page_num int, block_seq int, text string, ybot double, xbot double, ytop double, proba double")
@@ -84,7 +122,7 @@ def test_merge_pages(spark):
 
 def test_resolution(spark):
     partners = spark.createDataFrame(
-        [("1", "ооо ромашка", "общество ромашка", 0, False), ("2", "ооо ромашки", None, 0, None), ("3", "123", None, 0, False), ("4", "тест", None, 0, False), ("5", "зао завод", "ооо ромашка", 0, False), ("6", "x", None, 1, False)],
+        [("1", "ооо ромашка", "общество ромашка", 0, False), ("2", "ооо ромашки", None, 0, False), ("7", "ооо ромашкин", None, 0, None), ("3", "123", None, 0, False), ("4", "тест", None, 0, False), ("5", "зао завод", "ооо ромашка", 0, False), ("6", "x", None, 1, False)],
         "partner_id string, partner_name string, partner_full_name string, partner_type int, partner_not_available boolean",
     )
     clean = reference_data.clean_partners(partners)
