@@ -15,7 +15,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.KEY)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,7 +104,7 @@ def test_pii_brute_force(spark, odd, none):
 
     cards = ["4111111111111111", "4040549990366437"]
     rows = [(1, f"{cards[0]} and {cards[1]}, again {cards[0]}; 4111111111111112"), (2, f"x {cards[1]} 10.1.2.3 2024-02-29 31.02.2024 078-05-1120"), (3, "le.42@mail6.example.com DE89370400440532013000"), (4, None), (5, "")]
-    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), pii.KEY).collect()}
     out = [m for i in (1, 2) for m in re.findall(r"\d{16}", got[i].text)]
     assert out[0] == out[2] and out[1] == out[4] and out[3] == "4111111111111112" and len(set(out)) == 3
     assert all(luhn(x) for x in out if x != out[3])
@@ -115,7 +115,21 @@ def test_pii_brute_force(spark, odd, none):
     iban = got[3].text.split()[1]
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
     assert got[4].text is None and got[5].text == "" and got[5].n_found == 0
-    assert pii.pseudonymise(odd).count() == 12 and pii.pseudonymise(none).count() == 0
+    assert pii.pseudonymise(odd, pii.KEY).count() == 12 and pii.pseudonymise(none, pii.KEY).count() == 0
+
+
+def test_pii_kinds(spark):
+    """Mixed separators are no date and no card; pseudonyms are valid, differ for different values, and keep the format."""
+    texts = ["01.01/2020 02.09/2021 3/08.2021", "1@x.com a@x.com B@x.com"] + [f"+1 ({a}) {b}-0{c}" for a in (212, 415, 999) for b in (200, 555) for c in (100, 199)]
+    texts += [f"{a}.555.0199" for a in range(200, 260)] + ["115-555-0199 415-155-0199"] + ["DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 01", "DE89370400440532013000"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(rows, "a key of the test").collect()}
+    assert got[0].text == texts[0] and got[0].n_found == 0 and got[1].n_found == 3 and all(a != b for a, b in zip(texts[1].split(), got[1].text.split(), strict=True))
+    phones = [got[i].text for i, t in enumerate(texts) if re.search(r"\) |\.555\.", t)]
+    assert len(set(phones)) == len(phones) == 72 and all(re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}|[2-9]\d\d\.[2-9]\d\d\.\d{4}", p) for p in phones)
+    refused, printed, wrong, whole = (got[len(texts) - i] for i in (4, 3, 2, 1))
+    assert refused.n_found == wrong.n_found == 0 and wrong.text == texts[-2] and printed.text.replace(" ", "") == whole.text != texts[-1]
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", printed.text) and int("".join(str(int(c, 36)) for c in whole.text[4:] + whole.text[:4])) % 97 == 1
 
 
 def test_line_dedup_brute_force(spark, sf):
