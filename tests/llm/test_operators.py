@@ -132,7 +132,27 @@ def test_pii_kinds(spark):
     assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", printed.text) and int("".join(str(int(c, 36)) for c in whole.text[4:] + whole.text[:4])) % 97 == 1
 
 
+def quick_distance(a, b):
+    """Edit distance by bit vectors."""
+    if not a or not b:
+        return max(len(a), len(b))
+    where, full, top = {}, (1 << len(a)) - 1, 1 << (len(a) - 1)
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    up, down, out = full, 0, len(a)
+    for c in b:
+        hit = where.get(c, 0)
+        d = (((hit & up) + up) ^ up) | hit | down
+        more, less = down | ~(d | up), up & d
+        out += bool(more & top) - bool(less & top)
+        more, less = more << 1 | 1, less << 1
+        up, down = (less | ~(d | more)) & full, more & d & full
+    return out
+
+
 def test_line_dedup_brute_force(spark, sf):
+    """Against all pairs of edit similarity 0.8: no line is in a wrong group, and of the pairs 0.9 at least are in one group."""
+    assert [quick_distance(*p) for p in (("kitten", "sitting"), ("", "ab"), ("abc", "abc"))] == [distance("kitten", "sitting"), 2, 0]
     docs = table(spark, sf, "documents")
     got = {(r.doc_id, r.line_no): (r.group_doc, r.group_line, r.kept) for r in line_dedup.judge_lines(docs).collect()}
     seen = []
@@ -140,30 +160,49 @@ def test_line_dedup_brute_force(spark, sf):
         for i, line in enumerate(r.text.split("\n")):
             if n := regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" "):
                 seen.append((r.doc_id, i, n))
-    lines = sorted({s[2] for s in seen})
-    prints = np.array([bits_of([xxhash.xxh64_intdigest(w.encode(), 42) for w in set(n.split(" "))]) for n in lines], np.uint64)
-    links = []
+    lines = sorted({s[2] for s in seen}, key=len)
+    letters = sorted({c for n in lines for c in n})
+    counts = np.array([[n.count(c) for c in letters] for n in lines])
+    links, sizes = [], np.array(list(map(len, lines)))
     for i in range(len(lines)):
-        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints[i + 1 :]) <= line_dedup.RADIUS) + i + 1:
-            if distance(lines[i], lines[j]) <= (1 - line_dedup.SIMILARITY + 1e-12) * max(len(lines[i]), len(lines[j])):
-                links.append((i, j))
-    root = dict(zip(lines, groups(len(lines), links), strict=True))
-    first = {}
+        j = np.arange(i + 1, np.searchsorted(sizes, sizes[i] / line_dedup.SIMILARITY + 1e-9, side="right"))
+        apart = counts[j] - counts[i]
+        least = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))  # edits for the letters alone
+        most = np.floor((1 - line_dedup.SIMILARITY + 1e-12) * sizes[j])
+        links += [(i, int(k)) for k, m in zip(j[least <= most], most[least <= most], strict=True) if quick_distance(lines[i], lines[k]) <= m]
+    true = dict(zip(lines, groups(len(lines), links), strict=True))
+    own, first = {}, {}
     for d, i, n in sorted(seen):
-        first.setdefault(root[n], (d, i))
-    assert got == {(d, i): (*first[root[n]], first[root[n]] == (d, i)) for d, i, n in seen}
+        group = got[(d, i)][:2]
+        assert own.setdefault(n, group) == group and got[(d, i)][2] == (group == (d, i))
+        assert first.setdefault(group, (d, i, true[n])) == (*group, true[n])  # the first of a group is kept, and all are linked by some chain
+    assert got.keys() == {(d, i) for d, i, _ in seen}
+    assert len(links) > 40 and sum(own[lines[a]] == own[lines[b]] for a, b in links) >= 0.9 * len(links)
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 8, 12, 20, 40, 80, 160])
+def test_line_dedup_recall(spark, n):
+    """Lines of n words and copies with one letter changed: each pair is in one group, and no two pairs are."""
+    draw = np.random.default_rng(n)
+    word = lambda: "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), draw.integers(5, 9)))
+    rows = []
+    for k in range(25):
+        words = [word() for _ in range(n)]
+        other = list(words)
+        at = int(draw.integers(n))
+        other[at] = other[at][:2] + "0" + other[at][3:]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = {r.doc_id: r.group_doc for r in line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(50)}
 
 
 def test_line_dedup_large_bucket(spark):
-    """Near copies of one line: one group, with and without the pairs that a leader does not see."""
-    base = [f"w{i}" for i in range(80)]
+    """Near copies of one line are one group; a chain of edits is one, too, though its ends are not similar."""
+    base = [f"word{i}" for i in range(80)]
     rows = [(k, " ".join(base[:k] + [f"new{k}"] + base[k + 1 :])) for k in range(40)] + [(99, "quite another line of text\n\n--\nLes.")]
+    rows += [(100 + k, " ".join([f"item{i}" if i >= 6 * k else f"other{i}" for i in range(60)])) for k in range(9)]
     got = line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    prints = {k: bits_of([xxhash.xxh64_intdigest(w.encode(), 42) for w in set(t.split(" "))]) for k, t in rows if k < 99}
-    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
-    want = groups(40, links)
-    lowest = {r: min(i for i in range(40) if want[i] == r) for r in want}
-    assert {r.doc_id: r.group_doc for r in got if r.doc_id < 99} == {i: lowest[want[i]] for i in range(40)}
+    assert {r.doc_id: r.group_doc for r in got if r.doc_id != 99} == {i: 0 if i < 40 else 100 for i, _ in rows if i != 99}
     assert sorted(r.line_no for r in got if r.doc_id == 99) == [0, 3]
 
 
