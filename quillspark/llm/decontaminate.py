@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import SLICE_BYTES, released, sliced, text_bytes
 
-#: Segments have SEGMENT bytes and begin every STRIDE; a shorter item is one segment. Items under LEAST bytes are no evidence.
+#: Segments have SEGMENT bytes and begin every STRIDE; a shorter item is one segment. Items under LEAST bytes have to occur as they are.
 SEGMENT, STRIDE, LEAST = 64, 32, 20
-Q, ERROR_RATE = 8, 0.1
+#: Bytes of a q-gram, and of those of segments so short that longer ones would not leave room for a tenth of edits.
+Q, SMALL_Q, ERROR_RATE = 8, 4, 0.1
 #: Items are given to the workers in shares of about so many bytes; more than one share means more passes over the texts.
 SHARE_BYTES = 4 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -43,33 +44,42 @@ def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def budget(m: int) -> int:
-    """Edits allowed in a segment of m bytes: a tenth, and few enough for the lemma to demand a shared q-gram."""
-    return min(int(m * ERROR_RATE), m // Q - 1)
+    """Edits allowed in a segment of m bytes: a tenth, or none in one under LEAST."""
+    return int(m * ERROR_RATE) if m >= LEAST else 0
+
+
+@dataclass
+class Grams:
+    """The q-grams of those segments that are looked for by this q."""
+
+    q: int
+    grams: np.ndarray  # sorted; entries first[i] .. first[i + 1] are where gram i is
+    first: np.ndarray
+    segment_of: np.ndarray
+    place_of: np.ndarray
+    seen: np.ndarray
 
 
 @dataclass
 class Index:
-    """Segments of one share of the items."""
+    """Segments of one share of the items. short: those under LEAST bytes, by the bytes that they begin with."""
 
     items: list[int]
     segments: list[bytes]
     item_of: np.ndarray
     sizes: np.ndarray
     edits: np.ndarray
-    grams: np.ndarray  # sorted hashes; entries first[i] .. first[i + 1] are where gram i is
-    first: np.ndarray
-    segment_of: np.ndarray
-    place_of: np.ndarray
-    seen: np.ndarray
+    tables: list[Grams]
+    short: dict[int, dict[int, list[int]]]
 
 
-def grams_of(data: np.ndarray) -> np.ndarray:
-    """Hashes of the q-grams at every position that has one: the eight bytes themselves."""
-    if len(data) < Q:
+def grams_of(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-grams at every position that has one: q bytes as a number."""
+    if len(data) < q:
         return np.zeros(0, np.uint64)
-    out = np.zeros(len(data) - Q + 1, np.uint64)
-    for i in range(Q):
-        out |= data[i : len(data) - Q + 1 + i].astype(np.uint64) << np.uint64(8 * i)
+    out = np.zeros(len(data) - q + 1, np.uint64)
+    for i in range(q):
+        out |= data[i : len(data) - q + 1 + i].astype(np.uint64) << np.uint64(8 * i)
     return out
 
 
@@ -82,22 +92,29 @@ def build(items: list[tuple[int, str]]) -> Index:
     for n, (_, text) in enumerate(items):
         raw = np.frombuffer(text.encode(), np.uint8)
         body = normal(raw, np.array([0, len(raw)]))[0].tobytes().strip()
-        if len(body) < LEAST:
+        if not body:
             continue
         last = max(0, len(body) - SEGMENT)
         for at in sorted({*range(0, last + 1, STRIDE), last}):
             segments.append(body[at : at + SEGMENT])
             item_of.append(n)
     sizes = np.array([len(s) for s in segments], np.int64)
-    entries = [(g, s, p) for s, b in enumerate(segments) for p, g in enumerate(grams_of(np.frombuffer(b, np.uint8)).tolist())]
-    entries.sort()
+    edits = np.array([budget(int(m)) for m in sizes], np.int64)
+    roomy = sizes + 1 - (edits + 1) * Q >= 1  # the lemma demands a shared q-gram
+    tables = [grams_table(segments, np.flatnonzero((sizes >= LEAST) & (roomy == (q == Q))), q) for q in (Q, SMALL_Q)]
+    short: dict[int, dict[int, list[int]]] = {}
+    for s in np.flatnonzero(sizes < LEAST).tolist():
+        q = min(SMALL_Q, len(segments[s]))
+        short.setdefault(q, {}).setdefault(int.from_bytes(segments[s][:q], "little"), []).append(s)
+    return Index([i for i, _ in items], segments, np.array(item_of, np.int64), sizes, edits, [t for t in tables if len(t.grams)], short)
+
+
+def grams_table(segments: list[bytes], chosen: np.ndarray, q: int) -> Grams:
+    entries = sorted((g, s, p) for s in chosen.tolist() for p, g in enumerate(grams_of(np.frombuffer(segments[s], np.uint8), q).tolist()))
     grams, first = np.unique(np.array([e[0] for e in entries], np.uint64), return_index=True)
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[slot(grams)] = True
-    return Index(
-        [i for i, _ in items], segments, np.array(item_of, np.int64), sizes, np.array([budget(int(m)) for m in sizes], np.int64), grams,
-        np.append(first, len(entries)), np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen,
-    )
+    return Grams(q, grams, np.append(first, len(entries)), np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen)
 
 
 def least_edits(pattern: np.ndarray, data: np.ndarray, start: np.ndarray, width: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,24 +139,54 @@ def least_edits(pattern: np.ndarray, data: np.ndarray, start: np.ndarray, width:
 
 def regions(index: Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of regions within the budget of a segment: text, segment, edits, end in the normal bytes."""
-    none = np.zeros(0, np.int64)
-    grams = grams_of(data)
-    if not len(grams) or not len(index.grams):
-        return none, none, none, none
-    maybe = np.flatnonzero(index.seen[slot(grams)])
-    found = np.searchsorted(index.grams, grams[maybe])
-    real = found < len(index.grams)
-    real[real] = index.grams[found[real]] == grams[maybe[real]]
+    found = [x for t in index.tables for x in near_regions(index, t, data, offsets)] + equal_regions(index, data, offsets)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
+
+
+def equal_regions(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Occurrences of short segments, not within longer runs of ASCII letters and digits."""
+    inner = np.zeros(256, bool)
+    inner[[*range(48, 58), *range(97, 123)]] = True
+    out: list[tuple[np.ndarray, ...]] = []
+    for q, heads in index.short.items():
+        grams = grams_of(data, q)
+        maybe = np.flatnonzero(np.isin(grams, np.array(sorted(heads), np.uint64)))
+        order = maybe[np.argsort(grams[maybe], kind="stable")]
+        for head, own in heads.items():
+            low, high = np.searchsorted(grams[order], [head, head + 1])
+            for s in own:
+                m, pattern = int(index.sizes[s]), np.frombuffer(index.segments[s], np.uint8)
+                at = order[low:high]
+                text = np.searchsorted(offsets, at, side="right") - 1
+                ok = at + m <= offsets[text + 1]
+                at, text = at[ok], text[ok]
+                for k in range(q, m):
+                    ok = data[at + k] == pattern[k]
+                    at, text = at[ok], text[ok]
+                left = (at > offsets[text]) & inner[data[np.maximum(at - 1, 0)]] & inner[pattern[0]]
+                right = (at + m < offsets[text + 1]) & inner[data[np.minimum(at + m, len(data) - 1)]] & inner[pattern[-1]]
+                at, text = at[~(left | right)], text[~(left | right)]
+                if len(at):
+                    out.append((text, np.full(len(at), s), np.zeros(len(at), np.int64), at + m))
+    return out
+
+
+def near_regions(index: Index, table: Grams, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    grams = grams_of(data, table.q)
+    maybe = np.flatnonzero(table.seen[slot(grams)])
+    found = np.searchsorted(table.grams, grams[maybe])
+    real = found < len(table.grams)
+    real[real] = table.grams[found[real]] == grams[maybe[real]]
     maybe, found = maybe[real], found[real]
-    many = index.first[found + 1] - index.first[found]
-    entry = np.repeat(index.first[found] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    segment = index.segment_of[entry]
-    diagonal = np.repeat(maybe, many) - index.place_of[entry]
+    many = table.first[found + 1] - table.first[found]
+    entry = np.repeat(table.first[found] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    segment = table.segment_of[entry]
+    diagonal = np.repeat(maybe, many) - table.place_of[entry]
     band_size = index.edits[segment] + 1
     band = (diagonal + SEGMENT) // band_size  # not negative
     span = int(len(data) + 2 * SEGMENT + 2)
     key, count = np.unique(segment * span + band, return_counts=True)
-    need = index.sizes + 1 - (index.edits + 1) * Q
+    need = index.sizes + 1 - (index.edits + 1) * table.q
     after = np.append((key[1:] == key[:-1] + 1) * count[1:], 0)  # overlapping bands: each with its neighbour
     own = key // span
     reach = count + after >= need[own]
@@ -159,7 +206,7 @@ def regions(index: Index, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
         good = edits <= e
         if good.any():
             out.append((text[good], np.full(good.sum(), s), edits[good].astype(np.int64), end[good]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none, none)
+    return out
 
 
 def _match(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
@@ -201,8 +248,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A segment (64 bytes of an item in normal form, every 32 bytes; a shorter item whole) is in a document if some
     region of its whole text, in normal form, is within a tenth of the segment's bytes in edits. n_found of the
-    item's n_segments were found; least_edits is the fewest edits among them. Null and empty texts on either side
-    match nothing, nor do items of under 20 bytes. Rows of docs with a null doc_id are reported with it; repeated
+    item's n_segments were found; least_edits is the fewest edits among them. An item of under LEAST bytes has to occur
+    as it is, at the bounds of a word. Null and empty texts on either side match nothing; very long texts are read whole. Rows of docs with a null doc_id are reported with it; repeated
     rows are reported once each, repeated items once. Other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -263,6 +263,32 @@ def test_decontamination_brute_force():
     assert got == want and want
 
 
+def test_decontamination_of_short_items():
+    """Items of 1 to 19 bytes as whole words, and a tenth of edits in segments of any size, against all alignments."""
+    def found(items, text):
+        index = decontaminate.build(list(enumerate(items)))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        data, offsets, _ = decontaminate.normal(raw, np.array([0, len(raw)]))
+        _, segment, edits, _ = decontaminate.regions(index, data, offsets)
+        best = {}
+        for s, e in zip(segment.tolist(), edits.tolist(), strict=True):
+            best[int(index.item_of[s])] = min(e, best.get(int(index.item_of[s]), 99))
+        return best
+
+    items = ["x", "ab", "cat", "Four", "nineteen bytes here", "日本語", "", "dog  house"]
+    assert found(items, "the CAT saw four, nineteen  bytes here! これは日本語です; a dog house x") == dict.fromkeys((0, 2, 3, 4, 5, 7), 0)
+    assert found(items, "concat fours abc nineteen bytes hereby xx dog houses") == {} and found(["a"], "") == {}
+    draw = np.random.default_rng(4)
+    for m in (20, 21, 23, 24, 30, 31, 32, 47, 63):
+        item = "".join(draw.choice(list("abcdefghij"), m))
+        for edits in range(m // 10 + 2):
+            body = list(item)
+            for at in draw.choice(np.arange(1, m - 1), edits, replace=False):
+                body[at] = "z"
+            got = found([item], "qqq " + "".join(body) + " qqq")
+            assert got == ({0: edits} if edits <= m // 10 else {}), (m, edits)
+
+
 def test_simhash_brute_force(spark, sf, odd, none):
     def fingerprint(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
