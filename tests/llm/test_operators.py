@@ -337,6 +337,32 @@ def test_toxicity(spark, sf, odd, none):
     assert toxicity.score_toxicity(odd, labels.where("false")).where("score = 0 and predicted = 0").count() == 12
 
 
+def test_ftrl_brute_force():
+    """The updates of a plain loop over coordinates; features of one text are those that it has in a batch of texts."""
+    draw, model = np.random.default_rng(8), toxicity.Ftrl(6, l1=0.5)
+    z, n = [0.0] * 65, [0.0] * 65
+
+    def weight(i):
+        if abs(z[i]) <= model.l1:
+            return 0.0
+        return -(z[i] - (model.l1 if z[i] > 0 else -model.l1)) / ((model.beta + n[i] ** 0.5) / model.alpha + model.l2)
+
+    for _ in range(300):
+        at, label = np.unique(draw.integers(0, 64, 7)), int(draw.integers(2))
+        model.learn(at, label)
+        own = {int(i): weight(int(i)) for i in [*at, 64]}
+        g = 1 / (1 + np.exp(-sum(own.values()))) - label
+        for i, w in own.items():
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / model.alpha * w
+            n[i] += g * g
+    assert np.allclose(model.z, z) and np.allclose(model.n, n) and np.allclose(model.weights(), [weight(i) for i in range(65)]) and (model.weights() == 0).any()
+    raw = [t.encode() for t in ("One two  one THREE", "", "é! two", "one two one three")]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    text, found = toxicity.features(data, offsets)
+    each = [sorted(toxicity.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1].tolist()) for t in raw]
+    assert [sorted(found[text == i].tolist()) for i in range(4)] == each and list(map(len, each)) == [10, 0, 3, 10] and each[0] == each[3]
+
+
 def test_telephony(spark, odd, none):
     got = telephony.store_as_audio(odd).collect()
     texts = odd.collect()
@@ -512,6 +538,23 @@ def test_pipeline(spark, sf):
     assert a == b and len(names) == 5
 
 
+def test_stages_on_odd_rows(spark, sf, odd, none):
+    """Null, repeated, empty and long rows, clashing columns and an empty table: no stage fails, columns stay, and null ids or texts too where said."""
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf)
+        assert out.columns == odd.columns and stage(spark, none, sf).count() == 0, name
+        got = sorted((str(r.doc_id), str(r.text)[:9]) for r in out.collect())
+        if name == "language ID":
+            assert ("1", "None") not in got and ("2", "") not in got  # no letter
+        else:
+            assert ("None", "None") in got
+        if name in ("line dedup", "benchmark decontamination"):
+            assert len(got) == 12
+    assert corpus_pipeline.tokens(spark, odd, sf).where("lossless").count() == 12
+
+
 def test_registered():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)] and sys.modules["quillspark.llm"]
 
