@@ -42,3 +42,14 @@ def twins(partners: DataFrame, least: float = 95.0) -> DataFrame:
 def unused_twins(found: DataFrame, truth: DataFrame) -> DataFrame:
     """Twins that are no sender in the truth table, once for each partner that sees them."""
     return found.join(truth.select(F.col("sender_id").alias("twin_id")).distinct(), "twin_id", "left_anti").select("twin_id")
+
+
+def used_twins(found: DataFrame, truth: DataFrame) -> DataFrame:
+    """Twins that are a sender in the truth table."""
+    return found.join(truth.select(F.col("sender_id").alias("twin_id")).distinct(), "twin_id", "left_semi").select("twin_id")
+
+
+def twin_counts(partners: DataFrame, found: DataFrame) -> DataFrame:
+    """(partner_id, n_twins) of every partner, 0 where there is none."""
+    n = found.groupBy("partner_id").agg(F.countDistinct("twin_id").alias("n_twins"))
+    return partners.select("partner_id").distinct().join(n, "partner_id", "left").na.fill(0, ["n_twins"])

@@ -138,5 +138,25 @@ def top_persons(pairs: DataFrame, query: str, k: int = 5, least: float = 95.0) -
     return placed.where((F.col("place") == 1) | ((F.col("place") <= k) & (F.col("person_sim") >= least)))
 
 
+WAYS = ("multi_sim", "org_first", "signer_by_sender", "sender_by_signer")
+
+
+def four_ways(pairs: DataFrame, query: str) -> DataFrame:
+    """One row a query: the row_id that each of the four orders takes, side by side."""
+    best = [best_reference_row(pairs, query, how).select(query, F.lit(how).alias("how"), "row_id") for how in WAYS]
+    return reduce(DataFrame.unionByName, best).groupBy(query).agg(*[F.max(F.when(F.col("how") == how, F.col("row_id"))).alias(how) for how in WAYS])
+
+
+def best_org_of_top_persons(pairs: DataFrame, query: str, k: int = 5, least: float = 95.0) -> DataFrame:
+    """Of the top persons of each query the one with the best organisation."""
+    w = Window.partitionBy(query).orderBy(F.col("org_sim").desc(), "place")
+    return top_persons(pairs, query, k, least).withColumn("first", F.row_number().over(w)).where("first = 1").drop("first", "place")
+
+
+def without(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the other frame lacks; those with a null key stay."""
+    return df.join(other, key, "left_anti")
+
+
 def contains(ids: Column, id_: Column) -> Column:
     return F.coalesce(F.array_contains(ids, id_), F.lit(False))

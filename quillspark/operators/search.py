@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import similarity as S
+from quillspark.operators.groups import top_per_group
 
 #: Queries in a block: what one row of the corpus meets at once.
 BLOCK = 256
@@ -35,3 +36,16 @@ def reranked(pairs: DataFrame, cross: Column, threshold: float) -> DataFrame:
     blended = pairs.withColumn("score", (cross + F.col("cos")) / 2)
     w = Window.partitionBy("query_id").orderBy(F.col("cos").desc(), "id").rowsBetween(Window.unboundedPreceding, 0)
     return blended.withColumn("low", F.min("score").over(w)).where(F.col("low") >= threshold).drop("low")
+
+
+def within_cluster(pairs: DataFrame, clusters: DataFrame, id_: str, cluster: str) -> DataFrame:
+    """Hits that are in the query's own cluster; clusters has one row an id."""
+    of = clusters.select(F.col(id_).alias("id"), F.col(cluster).alias("own"))
+    asked = of.select(F.col("id").alias("query_id"), F.col("own").alias("asked"))
+    return pairs.join(of, "id").join(asked, "query_id").where("own = asked").drop("own", "asked")
+
+
+def top_cross(pairs: DataFrame, cross: Column, first: int = 30, k: int = 10) -> DataFrame:
+    """Of the `first` best of each query by cosine the k best by cross score, with both places; ties by cosine, then id."""
+    near = top_per_group(pairs, ["query_id"], [F.col("cos").desc(), F.col("id")], first).withColumnRenamed("place", "cos_place")
+    return top_per_group(near.withColumn("cross", cross), ["query_id"], [F.col("cross").desc(), F.col("cos_place")], k)

@@ -1 +1,3 @@
+"""The registered queries and their SQL."""
 
+from quillspark.plans import queries, rules  # noqa: F401  (rules adds to the registry of queries)

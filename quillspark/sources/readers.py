@@ -57,6 +57,18 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     return pairs.where("target is not null")
 
 
+def write_mapping(df: DataFrame, path: str) -> None:
+    """(source, target) rows as one JSON object; for mappings that a driver could hold, as one object is one text."""
+    entries = F.array_sort(F.collect_list(F.struct("source", "target")))
+    df.where("source is not null").groupBy("source").agg(F.min("target").alias("target")).agg(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def nth_file(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, id, extension) of the file at place n, from 0, by its order; documents with fewer files have no row."""
+    by_order = F.array_sort(F.transform("files", lambda f: F.struct(f["order"].alias("order"), f["id"].alias("id"), f["extension"].alias("extension"))))
+    return docs.select("doc_id", F.get(by_order, F.lit(n)).alias("file")).where("file is not null").select("doc_id", "file.id", "file.extension")
+
+
 def list_pdfs(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length) of PDF files under a folder; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").option("recursiveFileLookup", True).load(folder)

@@ -143,3 +143,36 @@ def test_sources(spark, tmp_path):
     assert readers.read_csv(spark, str(tmp_path / "t.csv"), "id int, name string", "windows-1251").first().name == "Завод"
     files = spark.createDataFrame([("d", "1", 1, ".pdf"), ("d", "2", 2, ".PDF"), ("d", "3", 3, ".pdf"), ("d", "4", 4, ".doc")], "doc_id string, id string, `order` int, extension string")
     assert readers.last_pdf(files, files.where("id <> '3'").select("id")).first().id == "2"
+
+
+def test_mapping_round_trip_and_files(spark, tmp_path):
+    from quillspark.sources import readers
+
+    rows = spark.createDataFrame([("а", "1"), ("б", "2"), (None, "3"), ("а", "0")], "source string, target string")
+    readers.write_mapping(rows, str(tmp_path / "map"))
+    assert sorted(map(tuple, readers.read_mapping(spark, str(tmp_path / "map")).collect())) == [("а", "0"), ("б", "2")]
+    tree = spark.createDataFrame([("d", [("x", 2, ".pdf"), ("y", 1, ".doc")]), ("e", []), ("f", None)], "doc_id string, files array<struct<id string, `order` int, extension string>>")
+    assert [tuple(r) for r in readers.nth_file(tree, 1).collect()] == [("d", "x", ".pdf")] and readers.nth_file(tree, 2).isEmpty()
+
+
+def test_twins_counted_and_used(spark):
+    from quillspark.operators import reference_data as R
+
+    partners = spark.createDataFrame([("1", "ооо весна юг"), ("2", "весна ооо юг"), ("3", "завод"), ("4", "ооо весна юг")], "partner_id string, partner_name string")
+    found = R.twins(partners)
+    assert {r.partner_id: r.n_twins for r in R.twin_counts(partners, found).collect()} == {"1": 2, "2": 2, "3": 0, "4": 2}
+    truth = spark.createDataFrame([("2",), ("3",)], "sender_id string")
+    assert {r.twin_id for r in R.used_twins(found, truth).collect()} == {"2"} and {r.twin_id for r in R.unused_twins(found, truth).collect()} == {"1", "4"}
+
+
+def test_quantiles_of_ties_nulls_and_nothing(spark):
+    import numpy as np
+
+    from quillspark.operators import frames
+
+    values = [None, 3.0] + [1.0] * 50 + [float(x) for x in range(20)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    shares = [0.0, 0.1, 0.33, 0.5, 0.9, 1.0]
+    got = {r.share: r.value for r in frames.quantiles(df, "v", shares, segments=5).collect()}
+    assert all(abs(got[s] - np.quantile([v for v in values if v is not None], s)) < 1e-9 for s in shares)
+    assert frames.quantiles(df.where("v < 0"), "v", shares).isEmpty()
