@@ -21,8 +21,11 @@ from quillspark.llm.common import give_back, held_out, released, sliced
 #: A run of letters; a longer one is cut into consecutive pieces, each of them a place of the chain. None is read in part.
 WORD = re.compile(r"[^\W\d_]{1,64}")
 UNKNOWN = "und"
-#: Words of one chain; longer texts are runs of such chains.
+#: Words that are worked on at once in one row; a longer text is a run of such pieces, and messages pass from one to the
+#: next, so that the whole text is one chain.
 CHAIN = 128
+#: Places after which products of a piece are scaled anew.
+RESCALE = 8
 #: Learned from: at most so many documents (those with the smallest hash of doc_id), two spans of SPAN words of each.
 SAMPLE, SPAN = 4000, 24
 HASH = 1 << 16
@@ -52,15 +55,59 @@ class Model:
         return found + self.lexicon_weight[lang] if (lang := self.lexicon.get(word)) is not None else found
 
 
-def forward_backward(emission: np.ndarray, lengths: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals (chains, places, languages) and expected transitions of chains sorted by falling length."""
+def messages(emission: np.ndarray, lengths: np.ndarray, before: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What reaches each piece from the pieces before and behind it in its text, for forward_backward.
+
+    Pieces are sorted by falling length; before is the piece that a piece follows, or -1. Each piece that has a
+    neighbour is multiplied out to one matrix, all of them at once; along a text there is then a step a piece.
+    """
+    n, _, k = emission.shape
+    start, end = np.ones((n, k)), np.ones((n, k))
+    follows = before >= 0
+    joined = follows.copy()
+    joined[before[follows]] = True
+    some = np.flatnonzero(joined)
+    if not len(some):
+        return start, end
+    move, part = np.exp(step), emission[some]
+    local = np.exp(part - part.max(axis=2, keepdims=True))
+    whole = local[:, 0, :, None] * np.eye(k)
+    for t in range(1, int(lengths[some[0]])):
+        m = int(np.searchsorted(-lengths[some], -t, side="left"))
+        whole[:m] = (whole[:m].reshape(-1, k) @ move).reshape(m, k, k) * local[:m, t, None, :]
+        if t % RESCALE == 0:
+            whole[:m] /= whole[:m].max(axis=(1, 2), keepdims=True)
+    whole /= whole.max(axis=(1, 2), keepdims=True)
+    of = np.full(n, -1)
+    of[some] = np.arange(len(some))
+    rounds, now = [], np.flatnonzero(joined & ~follows)
+    behind = np.full(n, -1)
+    behind[before[follows]] = np.flatnonzero(follows)
+    while len(now := behind[now][behind[now] >= 0]):
+        rounds.append(now)
+    for now in rounds:
+        out = np.einsum("ni,nij->nj", start[before[now]], whole[of[before[now]]]) @ move
+        start[now] = out * (k / out.sum(axis=1, keepdims=True))
+    for now in reversed(rounds):
+        out = np.einsum("nij,nj->ni", whole[of[now]], end[now]) @ move.T
+        end[before[now]] = out * (k / out.sum(axis=1, keepdims=True))
+    return start, end
+
+
+def forward_backward(emission: np.ndarray, lengths: np.ndarray, step: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals (chains, places, languages) and expected transitions of chains sorted by falling length.
+
+    start and end are messages from what is before and behind a chain; without them a chain stands alone.
+    """
     n, places, k = emission.shape
     local = np.exp(emission - emission.max(axis=2, keepdims=True))
     move = np.exp(step)
     ahead, behind = np.zeros_like(local), np.ones_like(local)
     scale = np.ones((n, places))
     active = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(places)]  # chains longer than t
-    ahead[:, 0] = local[:, 0]
+    ahead[:, 0] = local[:, 0] if start is None else local[:, 0] * start
+    if end is not None:
+        behind[np.arange(n), lengths - 1] = end
     for t in range(places):
         m = active[t]
         if t:
@@ -206,7 +253,11 @@ class Tagger:
         rank[order] = np.arange(len(order))
         emission = np.zeros((len(order), lengths.max(), self.table.shape[1]))
         emission[rank[chain], place] = self.table[ids]
-        both, _ = forward_backward(emission, lengths[order], self.model.step)
+        of = text[place == 0]
+        before = np.full(len(order), -1)
+        later = np.flatnonzero(of[1:] == of[:-1]) + 1
+        before[rank[later]] = rank[later - 1]
+        both, _ = forward_backward(emission, lengths[order], self.model.step, *messages(emission, lengths[order], before, self.model.step))
         return text, size, both[rank[chain], place]
 
 

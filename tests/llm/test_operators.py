@@ -570,3 +570,22 @@ def test_line_similarity_brute_force(spark):
     pairs = spark.createDataFrame(rows, "a string, b string, want boolean")
     pairs = pairs.select("want", line_dedup.similar(pairs.a, pairs.b).alias("got"))
     assert pairs.where("got <> want or got is null").count() == 0 and {r.want for r in pairs.collect()} == {True, False}
+
+
+@pytest.mark.parametrize("strong", [1.0, 6.0])
+def test_language_id_whole_text_is_one_chain(strong):
+    """Marginals of texts of up to 1,000 words, joined from pieces, equal those of one long chain each."""
+    random = np.random.default_rng(3)
+    langs = ["a", "b", "c", "d"]
+    model = langid.Model(langs)
+    model.step = random.normal(0, 2, (4, 4)) + 3 * np.eye(4)
+    words = ["".join(w) for w in random.choice(list("abcdefghij"), (400, 4))]
+    model.weights = random.normal(0, strong / 4, model.weights.shape).astype(np.float32)
+    sizes = [1000, 1, langid.CHAIN, 2 * langid.CHAIN, 2 * langid.CHAIN + 1, 300, 0, 5, langid.CHAIN + 1]
+    texts = [[words[i] for i in random.integers(0, len(words), n)] for n in sizes]
+    text, _, got = langid.Tagger(model).marginals(texts)
+    for i, ws in enumerate(texts):
+        if ws:
+            alone = np.stack([model.emission(w) for w in ws])[None].astype(float)
+            want, _ = langid.forward_backward(alone, np.array([len(ws)]), model.step)
+            assert np.allclose(got[text == i], want[0], atol=1e-8)
