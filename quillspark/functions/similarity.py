@@ -24,7 +24,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def l2_normalised(v: Column) -> Column:
-    return F.transform(v, lambda x: F.try_divide(x.cast("double"), norm(v)))
+    scaled = F.transform(F.array(norm(v)), lambda n: F.transform(v, lambda x: F.try_divide(x.cast("double"), n)))  # the norm once
+    return F.get(scaled, F.lit(0))
 
 
 def lcs_length(a: str, b: str) -> int:

@@ -176,3 +176,11 @@ def test_quantiles_of_ties_nulls_and_nothing(spark):
     got = {r.share: r.value for r in frames.quantiles(df, "v", shares, segments=5).collect()}
     assert all(abs(got[s] - np.quantile([v for v in values if v is not None], s)) < 1e-9 for s in shares)
     assert frames.quantiles(df.where("v < 0"), "v", shares).isEmpty()
+
+
+def test_case_islands_of_odd_lists(spark):
+    from quillspark.operators import layout
+
+    rows = [(1, ["AB", "CD", "xx", "yy", "", "EF"]), (2, []), (3, None), (4, ["a"]), (5, ["A"] * 300 + ["b"] * 300)]
+    got = {r.i: r.o for r in spark.createDataFrame(rows, "i int, l array<string>").select("i", layout.case_islands(F.col("l")).alias("o")).collect()}
+    assert got == {1: ["AB CD", "xx yy ", "EF"], 2: [], 3: None, 4: ["a"], 5: [" ".join("A" * 300), " ".join("b" * 300)]}
