@@ -157,3 +157,30 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches
     finally:
         give_back()
+
+
+def letters_table(digits: bool) -> np.ndarray:
+    """Which bytes of UTF-8 make up terms: ASCII letters, all of characters beyond ASCII and, if wanted, ASCII digits."""
+    out = np.zeros(256, bool)
+    out[128:] = out[65:91] = out[97:123] = True
+    out[48:58] = digits
+    return out
+
+
+#: Each byte with A-Z in small letters.
+SMALL = np.arange(256, dtype=np.uint8)
+SMALL[65:91] += 32
+
+
+def coded_terms(texts: pa.Array, letters: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct terms (runs of `letters`, A-Z in small letters) of texts without nulls; for each occurrence, in order, its term's place there and its text's index."""
+    offsets, data = text_bytes(texts)
+    inside = letters[data]
+    starts, ends, of = runs(inside, offsets)
+    places = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=places[1:])
+    wide = places[-1] >= 1 << 31
+    kind = pa.LargeStringArray if wide else pa.StringArray
+    terms = kind.from_buffers(len(starts), pa.py_buffer(places if wide else places.astype(np.int32)), pa.py_buffer(SMALL[data[inside]]))
+    coded = terms.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), of

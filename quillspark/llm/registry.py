@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import decontaminate, langid, licenses, line_dedup, phrases, pieces, pii, simhash, telephony, toxicity
+from quillspark.llm import decontaminate, divergence, langid, licenses, line_dedup, phrases, pieces, pii, sharding, simhash, telephony, toxicity
 from quillspark.llm.common import table
 
 
@@ -50,13 +50,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_license_scan, op2_pii_pseudonyms, op3_line_dedup, op4_decontamination, op5_simhash_dedup, op6_toxicity, op7_telephony,
-        op8_substring_dedup, op9_sentencepiece, op10_language_id,
+        op8_substring_dedup, op9_sentencepiece, op10_language_id, op11_sharding, op12_source_divergence,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.scan_sql()}
+    return {"op1_license_scan": licenses.scan_sql(), "op12_source_divergence": divergence.audit_sql()}
