@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import decontaminate, divergence, langid, licenses, line_dedup, phrases, pieces, pii, sharding, simhash, telephony, toxicity
+from quillspark.llm import decontaminate, divergence, langid, lexical, licenses, line_dedup, phrases, pieces, pii, sharding, simhash, telephony, toxicity
 from quillspark.llm.common import table
 
 
@@ -58,13 +58,18 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_license_scan, op2_pii_pseudonyms, op3_line_dedup, op4_decontamination, op5_simhash_dedup, op6_toxicity, op7_telephony,
         op8_substring_dedup, op9_sentencepiece, op10_language_id, op11_sharding, op12_source_divergence,
+        op13_lexical_search,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.scan_sql(), "op12_source_divergence": divergence.audit_sql()}
+    return {"op1_license_scan": licenses.scan_sql(), "op12_source_divergence": divergence.audit_sql(), "op13_lexical_search": lexical.rank_sql()}
