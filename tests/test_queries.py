@@ -10,7 +10,7 @@ from quillspark.functions import similarity as S
 from quillspark.operators import cluster
 from quillspark.plans.queries import QUERIES, SQL
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
