@@ -1,3 +1,3 @@
 """The registered queries and their SQL."""
 
-from quillspark.plans import pages, queries, rules  # noqa: F401  (the others add to the registry of queries)
+from quillspark.plans import pages, queries, rules, vectors  # noqa: F401  (the others add to the registry of queries)
