@@ -577,21 +577,3 @@ def word_precision_recall(spark, sf):
     n, w = F.size(F.split("p_name", " ")), F.split("p_name", " ")
     hits = F.aggregate(w, F.lit(0), lambda s, a: s + F.size(F.filter(w, lambda b: a == b)))
     return p.where(hits <= n).select("p_partkey", both.alias("r")).select("p_partkey", "r.precision", "r.recall")
-
-
-@query()
-def letter_entities(spark, sf):
-    """The whole chain on documents as letters: nested tree, block features, candidates, entities. Scores stand in for the model."""
-    d = table(spark, sf, "documents").where("text is not null and text <> ''")
-    lines = F.filter(F.split("text", "\n"), lambda x: x != "")
-    n = F.size(lines)
-    block = lambda x, i: F.struct(
-        x.alias("text"), F.array(F.lit(10.0), 100.0 - (i + 1) * 100.0 / (n + 1), F.lit(90.0), 100.0 - i * 100.0 / (n + 1)).alias("coords"), F.lit("Arial").alias("font_name"), F.lit(12.0).alias("font_size_pt")
-    )
-    page = F.struct(F.lit(1).alias("page_num"), F.array(*map(F.lit, (0.0, 0.0, 80.0, 100.0))).alias("meta"), F.transform(lines, block).alias("blocks"))
-    tree = d.select(F.col("doc_id").cast("string").alias("doc_id"), F.array(F.struct(F.lit("f").alias("id"), F.lit(1).alias("order"), F.lit(".pdf").alias("extension"), F.array(page).alias("pages"))).alias("files"))
-    blocks = layout.letter_features(tree)[0].withColumn("proba", F.round(1 - F.col("location_on_the_page"), 6))
-    return entities.predict_entities(
-        blocks, entities.predict_sender(blocks), entities.predict_signer(blocks), entities.predict_date(entities.date_candidates(blocks)),
-        entities.predict_number(entities.number_candidates(blocks)), entities.predict_content(blocks),
-    )
