@@ -135,6 +135,11 @@ def _arrow(f: Callable[[str, str], float]) -> Callable[[Column, Column], Column]
 indel_ratio, token_sort_ratio, partial_ratio, weighted_ratio, jaro_winkler_ratio = map(_arrow, (indel, token_sort, partial, weighted, jaro_winkler))
 
 
+def jaro_winkler_scaled(scaling: float) -> Callable[[Column, Column], Column]:
+    """Jaro-Winkler with another weight of the common prefix."""
+    return _arrow(lambda a, b: jaro_winkler(a, b, scaling))
+
+
 def can_reach(a: Column, b: Column, least: float) -> Column:
     """Whether lengths allow an indel similarity of `least`: a filter before the UDF, since the LCS is no longer than the shorter text."""
     return 200.0 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b))

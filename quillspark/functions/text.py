@@ -153,9 +153,11 @@ INITIALS_FIRST = rf"\b{MIXED_UPPER}\.\s{{0,8}}[А-Я]\.\s{{0,8}}{MIXED_UPPER}{MI
 def format_fullname(text: Column, initials_first: bool = True) -> Column:
     """The first "F.M. Surname" or "Surname F.M." in the text, in the order wanted; texts without one stay.
 
-    A name is found inside longer texts, too; the words around it are left out.
+    A name is found inside longer texts, too; the words around it are left out. A capital letter behind a small one
+    begins a word. A surname behind initials goes on to the end of its word, beyond the letters of the pattern (ё).
     """
-    front = rf"(?U)\b({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.\s{{0,8}}({MIXED_UPPER}{MIXED_ANY}{{2,34}})"
+    text = F.regexp_replace(text, "([а-я])([А-Я])", "$1 $2")
+    front = rf"(?U)\b({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.\s{{0,8}}({MIXED_UPPER}{MIXED_ANY}{{2,34}}\w*)"
     back = rf"(?U)\b([А-Я][а-я]{{2,34}})\s{{0,8}}({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.?"
     part = lambda pattern, i: F.regexp_extract(text, pattern, i)
     shape = "%s.%s. %s" if initials_first else "%3$s %1$s.%2$s."

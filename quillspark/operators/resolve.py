@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import similarity as S
+from quillspark.functions import text as T
+from quillspark.sources.durable import kept
 
 
 def two_way_semi(a: DataFrame, b: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -45,6 +47,26 @@ def fuzzy_pairs(left: DataFrame, a: str, right: DataFrame, b: str, least: float,
     return met.select(a, b, S.indel_ratio(F.col("form_a"), F.col("form_b")).alias("sim")).where(F.col("sim") >= least)
 
 
+#: Texts asked for that meet one text at once.
+ASKED = 256
+
+
+def asked_pairs(asked: DataFrame, a: str, known: DataFrame, b: str) -> DataFrame:
+    """(a, b): each text asked for with each known one; a set of questions against all rows, joined by the number of their block."""
+    n = max(1, -(-asked.count() // ASKED))
+    blocks = asked.select(F.col(a).alias("a"), F.pmod(F.xxhash64(a), F.lit(n)).alias("block")).groupBy("block").agg(F.collect_list("a").alias("of"))
+    rows = known.select(F.col(b).alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"))
+    return rows.join(blocks, "block").select(F.explode("of").alias("a"), "b")
+
+
+def jaro_best_rows(asked: DataFrame, name: str, reference: DataFrame, column: str, scaling: float = 0.2) -> DataFrame:
+    """Rows of the reference with the name that has the greatest Jaro-Winkler similarity with each name asked for, with asked and sim; of equal ones the name that sorts first. The name itself does not count."""
+    pairs = asked_pairs(asked.select(name).distinct(), name, reference.select(column).where(F.col(column).isNotNull()).distinct(), column).where("a <> b")
+    best = pairs.withColumn("sim", F.round(S.jaro_winkler_scaled(scaling)(F.col("a"), F.col("b")), 6))
+    best = best.groupBy("a").agg(F.min_by("b", F.struct(-F.col("sim"), F.col("b"))).alias("b"), F.max("sim").alias("sim"))
+    return reference.join(best.withColumnsRenamed({"a": "asked", "b": column}), column)
+
+
 def canonical_sender(sender: Column, known: list[tuple[str, list[str]]]) -> Column:
     """The first of the known names of which it, or one of its other forms, has a Jaro-Winkler similarity of 0.9 at least; else the sender."""
     out = sender
@@ -59,33 +81,83 @@ def _bare(name: Column) -> Column:
 
 
 def sender_score(sender: Column, name: Column) -> Column:
-    """Sorted-token similarity from 95, else partial similarity from 90, else 0; 0 if one is null. The sender counts in small letters."""
-    a, b = _bare(F.lower(sender)), _bare(name)
+    """Sorted-token similarity from 95, else partial similarity from 90, else 0; 0 if one is null. The partner's name counts in small letters, the sender as it is."""
+    a, b = _bare(sender), _bare(F.lower(name))
     sorted_, part = S.token_sort_ratio(a, b), S.partial_ratio(a, b)
     return F.coalesce(F.when(sorted_ >= 95, sorted_).when(part >= 90, part), F.lit(0.0))
 
 
-def _grams(name: Column) -> Column:
-    """What two names with a score have in common at least once: 90 % of the shorter one, in no more runs than lets one have three characters."""
-    body = F.regexp_replace(_bare(F.lower(name)), r"(?U)\s+", "")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(body) - 2, F.lit(1))), lambda i: F.substring(body, i, 3)))
+#: Characters of a gram of texts, and of texts with sorted tokens.
+GRAM, SORTED_GRAM = 3, 5
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """The distinct runs of `size` characters of a text; none of shorter texts."""
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, size)))
+
+
+def _rarest(short: DataFrame, long: DataFrame, exact: bool) -> DataFrame:
+    """(id, gram) of the rarest grams of each short text, one of which a long text has to have that contains it (exact) or is 90 % like it in part.
+
+    90 % of a window leave at most a fifth of the m characters of the short text to edits, each of which costs three
+    grams at most; as many grams as can be lost, and one more, are enough, and the rarest in the long texts meet fewest.
+    """
+    grams = short.select("id", F.explode(_pieces(F.col("form"), GRAM)).alias("gram"), F.length("form").alias("m"))
+    seen = long.select(F.explode(_pieces(F.col("form"), GRAM)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    ranked = grams.join(seen, "gram")  # grams that no long text has meet none
+    lost = F.lit(1) if exact else F.least(3 * F.floor(F.col("m") / 5) + 1, F.col("m"))
+    counted = ranked.groupBy("id", "m").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"), F.count("*").alias("known"))
+    size = grams.groupBy("id").agg(F.count("*").alias("all"))
+    # of the wanted rarest ones those that no long text has come first, and meet none
+    wanted = counted.join(size, "id").withColumn("take", F.greatest(lost - (F.col("all") - F.col("known")), F.lit(0)).cast("int"))
+    return wanted.select("id", F.explode(F.slice("grams", F.lit(1), F.col("take"))).alias("g")).select("id", "g.gram")
+
+
+def _held(short: DataFrame, long: DataFrame, exact: bool) -> DataFrame:
+    """(short, long) ids of forms that may have the partial similarity, the short one being no longer than the long one."""
+    all_grams = long.select(F.col("id").alias("long"), F.explode(_pieces(F.col("form"), GRAM)).alias("gram"), F.length("form").alias("n"))
+    met = _rarest(short, long, exact).join(short.select("id", F.length("form").alias("m")), "id").join(all_grams, "gram").where("m <= n").select(F.col("id").alias("short"), "long").distinct()
+    tiny = short.where(F.length("form") < GRAM)  # are found whole, or not at all
+    small = long.select(F.col("id").alias("long"), F.explode(F.concat(_pieces(F.col("form"), 1), _pieces(F.col("form"), 2))).alias("form"))
+    return met.unionByName(tiny.join(small, "form").select(F.col("id").alias("short"), "long").distinct())
+
+
+def _meeting(senders: DataFrame, names: DataFrame, exact: bool) -> DataFrame:
+    """(sender, name) that may have a sender_score of 100 (exact), or any; both have id and form."""
+    a, b = (_held(x, y, exact).select(F.col(x_is).alias("sender"), F.col(y_is).alias("name")) for x, y, x_is, y_is in ((senders, names, "short", "long"), (names, senders, "long", "short")))
+    ordered = [d.select(F.col("id").alias(n), S.sorted_tokens(F.col("form")).alias("sorted")) for d, n in ((senders, "sender"), (names, "name"))]
+    same = ordered[0].join(ordered[1], "sorted").select("sender", "name")
+    parts = [a, b, same]
+    if not exact:  # 95 % of sorted tokens that are not equal have five characters in a row in common
+        x, y = (d.select(d.columns[0], F.explode(_pieces(F.col("sorted"), SORTED_GRAM)).alias("gram"), F.length("sorted").alias(f"n_{d.columns[0]}")) for d in ordered)
+        near = x.join(y, "gram").where("200 * least(n_sender, n_name) >= 95 * (n_sender + n_name)")
+        parts.append(near.select("sender", "name"))
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def resolve_sender(queries: DataFrame, partners: DataFrame, least: float = 90.0) -> DataFrame:
     """(sender, ids): partners whose name or full name equals the sender, else all with the greatest sender_score of both.
 
-    queries has sender; partners has partner_id, partner_name, partner_full_name. Null senders have no ids. Names meet
-    if they share three characters, spaces left out; only distinct names meet.
+    queries has sender; partners has partner_id, partner_name, partner_full_name. Null senders are left out; the word
+    for an unknown sender has no ids. No pair of a score of `least`, 90 at least, is lost: senders of score 100 are found
+    first, by sorted tokens and by the rarest gram of the shorter text, and only the others meet more names.
     """
     wanted = queries.select("sender").where("sender is not null").distinct()
-    exact = exact_union(wanted, "sender", partners, ["partner_name", "partner_full_name"], "partner_id")
-    rest = wanted.join(exact, "sender", "left_anti")
-    names = partners.select("partner_id", F.explode(F.array("partner_name", "partner_full_name")).alias("name")).where("name is not null")
-    left = rest.select("sender", F.explode(_grams(F.col("sender"))).alias("gram"))
-    right = names.select("name").distinct().select("name", F.explode(_grams(F.col("name"))).alias("gram"))
-    met = left.join(right, "gram").select("sender", "name").distinct().withColumn("sim", sender_score(F.col("sender"), F.col("name"))).where(F.col("sim") >= least)
+    known = wanted.where(F.col("sender") != T.UNKNOWN)
+    exact = exact_union(known, "sender", partners, ["partner_name", "partner_full_name"], "partner_id")
+    rest = known.join(exact, "sender", "left_anti").select(F.col("sender").alias("id"), _bare(F.col("sender")).alias("form"))
+    of = partners.select("partner_id", F.explode(F.array("partner_name", "partner_full_name")).alias("name")).where("name is not null")
+    names = kept(of.select("name").distinct().select(F.col("name").alias("id"), _bare(F.lower("name")).alias("form")))
+    rest = kept(rest)
+
+    def scored(senders: DataFrame, whole: bool) -> DataFrame:
+        return _meeting(senders, names, whole).withColumn("sim", sender_score(F.col("sender"), F.col("name")))
+
+    certain = kept(scored(rest, True).where("sim = 100").select("sender", "name"))
+    met = scored(rest.join(certain.select(F.col("sender").alias("id")).distinct(), "id", "left_anti"), False).where(F.col("sim") >= least)
     best = met.withColumn("top", F.max("sim").over(Window.partitionBy("sender"))).where("sim = top").select("sender", "name")
-    fuzzy = best.join(names, "name").select("sender", "partner_id").distinct()
+    fuzzy = certain.unionByName(best).join(of, "name").select("sender", "partner_id").distinct()
     ids = exact.select("sender", "partner_id").unionByName(fuzzy).groupBy("sender").agg(F.array_sort(F.collect_set("partner_id")).alias("ids"))
     return wanted.join(ids, "sender", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
 

@@ -273,39 +273,30 @@ def map_lookup_passthrough(spark, sf):
     return resolve.map_lookup(customers, "key", names, "source", "target").select("c_custkey", "resolved")
 
 
-@query("SELECT DISTINCT p_name, s FROM (SELECT a.p_name, b.p_partkey AS s FROM part a JOIN part b ON a.p_name = b.p_name WHERE b.p_size > 45 UNION ALL SELECT a.p_name, b.p_partkey FROM part a JOIN part b ON a.p_name = b.p_type WHERE b.p_size > 45)")
+@query("SELECT DISTINCT a.p_name, b.p_partkey AS s FROM part a JOIN part b ON a.p_name = b.p_name OR a.p_name = b.p_type")
 def exact_union_dedupe(spark, sf):
     part = table(spark, sf, "part")
-    right = part.where("p_size > 45").select(F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.col("p_partkey").alias("s"))
+    right = part.select(F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.col("p_partkey").alias("s"))
     return resolve.exact_union(part.select("p_name").distinct(), "p_name", right, ["name", "kind"], "s")
 
 
-@query("""SELECT DISTINCT a, b, round(j + 0.1 * (1 - j) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 ELSE 1 END, 6) AS sim
-    FROM (SELECT a.p_name AS a, b.p_name AS b, jaro_similarity(a.p_name, b.p_name) AS j FROM part a JOIN part b ON a.p_name[1] = b.p_name[1] AND a.p_name < b.p_name)""")
+@query("""WITH n AS (SELECT DISTINCT p_name || ' ' || p_type AS name FROM part), q AS (SELECT DISTINCT p_name || ' ' || p_type AS name FROM part WHERE p_partkey % 50 = 0), j AS (SELECT q.name AS a, n.name AS b, jaro_similarity(q.name, n.name) AS j FROM q JOIN n ON q.name <> n.name)
+    SELECT a, b, round(j + 0.1 * (1 - j) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 WHEN a[1] = b[1] THEN 1 ELSE 0 END, 6) AS sim FROM j""")
 def jaro_winkler(spark, sf):
-    names = table(spark, sf, "part").select("p_name").distinct()
-    a, b = names.select(F.col("p_name").alias("a"), F.substring("p_name", 1, 1).alias("k")), names.select(F.col("p_name").alias("b"), F.substring("p_name", 1, 1).alias("k"))
-    return a.join(b, "k").where("a < b").select("a", "b", F.round(S.jaro_winkler_ratio(F.col("a"), F.col("b")), 6).alias("sim"))
-
-
-# The SQL of the two queries above fixes their part of the table (p_size > 45; names with the same first letter).
-# The next two do the whole job of the same operators.
-
+    """The names of every 50th part against all distinct names."""
+    part = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    asked = part.where("p_partkey % 50 = 0").select("name").distinct()
+    return resolve.asked_pairs(asked, "name", part.select("name").distinct(), "name").where("a <> b").select("a", "b", F.round(S.jaro_winkler_ratio(F.col("a"), F.col("b")), 6).alias("sim"))
 
-@query("SELECT DISTINCT a.p_name, b.p_partkey AS s FROM part a JOIN part b ON a.p_name = b.p_name OR a.p_name = b.p_type")
-def exact_union_dedupe_whole(spark, sf):
-    part = table(spark, sf, "part")
-    right = part.select(F.col("p_name").alias("name"), F.col("p_type").alias("kind"), F.col("p_partkey").alias("s"))
-    return resolve.exact_union(part.select("p_name").distinct(), "p_name", right, ["name", "kind"], "s")
 
-
-@query("""WITH n AS (SELECT DISTINCT p_name FROM part), j AS (SELECT a.p_name AS a, b.p_name AS b, jaro_similarity(a.p_name, b.p_name) AS j FROM n a JOIN n b ON a.p_name < b.p_name)
-    SELECT a, b, round(j + 0.1 * (1 - j) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 WHEN a[1] = b[1] THEN 1 ELSE 0 END, 6) AS sim FROM j""")
-def jaro_winkler_whole(spark, sf):
-    """All pairs of distinct names, whatever their first letters."""
-    names = table(spark, sf, "part").select("p_name").distinct()
-    a, b = names.select(F.col("p_name").alias("a")), names.select(F.col("p_name").alias("b"))
-    return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(S.jaro_winkler_ratio(F.col("a"), F.col("b")), 6).alias("sim"))
+@query("""WITH n AS (SELECT p_partkey, p_name || ' ' || p_type AS name FROM part), q AS (SELECT DISTINCT name FROM n WHERE p_partkey % 50 = 0), j AS (SELECT DISTINCT q.name AS a, n.name AS b, jaro_similarity(q.name, n.name) AS j FROM q JOIN n ON q.name <> n.name),
+    s AS (SELECT a, b, round(j + 0.2 * (1 - j) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 WHEN a[1] = b[1] THEN 1 ELSE 0 END, 6) AS sim FROM j),
+    t AS (SELECT a, b, sim FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS r FROM s) WHERE r = 1) SELECT a AS asked, b AS name, sim, p_partkey FROM t JOIN n ON n.name = t.b""")
+def jaro_best_rows(spark, sf):
+    """All rows that have the name most like the one asked for, itself left out."""
+    part = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    out = resolve.jaro_best_rows(part.where("p_partkey % 50 = 0").select("name"), "name", part, "name")
+    return out.select("asked", "name", F.round("sim", 6).alias("sim"), "p_partkey")
 
 
 def _names(spark: SparkSession, sf: str) -> DataFrame:
@@ -527,21 +518,20 @@ def letter_numbers(spark, sf):
 
 #: Surnames and initials by key.
 SURNAMES, LETTERS = ("Иванов", "Петрова", "Семёнова", "Орлов", "Кузнецов"), "АБВГДИКЛМН"
-NAMED = f"""SELECT c_custkey, ({list(SURNAMES)})[c_custkey % 5 + 1] AS surname, substr('{LETTERS}', (c_custkey % 10 + 1)::INT, 1) AS f, substr('{LETTERS}', (c_custkey // 10 % 10 + 1)::INT, 1) AS m FROM customer
-    WHERE c_custkey % 5 <> 2"""
+NAMED = f"""SELECT c_custkey, ({list(SURNAMES)})[c_custkey % 5 + 1] AS surname, substr('{LETTERS}', (c_custkey % 10 + 1)::INT, 1) AS f, substr('{LETTERS}', (c_custkey // 10 % 10 + 1)::INT, 1) AS m FROM customer"""
 
 
 def _signers(spark: SparkSession, sf: str) -> DataFrame:
-    """Surname (none with ё, which the pattern of names leaves out) and initials for each customer."""
-    c = table(spark, sf, "customer").where("c_custkey % 5 <> 2")
+    """Surname and initials for each customer."""
+    c = table(spark, sf, "customer")
     letter = lambda at: F.substring(F.lit(LETTERS), at.cast("int") + 1, F.lit(1))
     return c.select("c_custkey", F.get(F.array(*map(F.lit, SURNAMES)), (F.col("c_custkey") % 5).cast("int")).alias("surname"), letter(F.col("c_custkey") % 10).alias("f"), letter(F.floor(F.col("c_custkey") / 10) % 10).alias("m"))
 
 
-@query(f"""SELECT c_custkey, f || '.' || m || '. ' || surname AS front, surname || ' ' || f || '.' || m || '.' AS back, surname || ' ' || f || '.' || m || '.' AS fio, f || '.' || m || '. ' || surname AS found,
-    surname AS last, f AS first, m AS middle FROM ({NAMED})""")
+@query(f"""SELECT c_custkey, CASE WHEN surname LIKE '%ё%' THEN 'Директор ' || surname || ' ' || f || '. ' || m || '. (подпись)' ELSE f || '.' || m || '. ' || surname END AS front, surname || ' ' || f || '.' || m || '.' AS back,
+    surname || ' ' || f || '.' || m || '.' AS fio, f || '.' || m || '. ' || CASE WHEN surname LIKE '%ё%' THEN 'Сем' ELSE surname END AS found, surname AS last, f AS first, m AS middle FROM ({NAMED})""")
 def name_formats(spark, sf):
-    """Names inside longer texts, in both orders; tokens in any order and case; parts of a name."""
+    """Names inside longer texts, in both orders; tokens in any order and case; parts of a name. The patterns have no ё: before initials such a surname is not found, behind them its first letters are."""
     n = _signers(spark, sf)
     inside = F.concat(F.lit("Директор "), "surname", F.lit(" "), "f", F.lit(". "), "m", F.lit(". (подпись)"))
     front = F.concat(F.lit("подписал "), "f", F.lit("."), "m", F.lit(". "), "surname")
@@ -558,22 +548,24 @@ def sender_cleaning(spark, sf):
     return s.select("s_suppkey", F.md5(T.clean_name(F.col("t"))).alias("name"), T.clean_name(F.lit(" «» ")).alias("empty"))
 
 
-@query("""SELECT s_suppkey AS id, 1 AS n, s_suppkey AS best FROM supplier""")
+@query("""WITH p AS (SELECT p_partkey::VARCHAR AS id, upper('ооо ' || p_name || ' ' || p_type) AS name, string_split(p_name, ' ') AS w, lower(p_type) AS t FROM part),
+    s AS (SELECT id AS of, name AS sender FROM p UNION ALL SELECT id, t || ' ' || list_aggregate(list_reverse(w), 'string_agg', ' ') || ' "ооо"' FROM p UNION ALL SELECT id, '#' || name FROM p UNION ALL SELECT id, 'не определён' FROM p),
+    same AS (SELECT a.id AS of, string_agg(b.id, ',' ORDER BY b.id) AS ids FROM p a JOIN p b ON list_sort(list_append(a.w, a.t)) = list_sort(list_append(b.w, b.t)) GROUP BY a.id),
+    equal AS (SELECT a.id AS of, string_agg(b.id, ',' ORDER BY b.id) AS ids FROM p a JOIN p b ON a.name = b.name GROUP BY a.id)
+    SELECT DISTINCT sender, CASE WHEN sender = 'не определён' OR sender LIKE '#%' THEN '' WHEN sender = upper(sender) THEN equal.ids ELSE same.ids END AS ids FROM s JOIN same USING (of) JOIN equal USING (of)""")
 def sender_resolution(spark, sf):
-    """Each supplier by its name as a letter may have it, with signs and capitals: the exact tier misses, the fuzzy one finds it alone."""
-    s = table(spark, sf, "supplier").select("s_suppkey", F.lower("s_name").alias("name"))
-    partners = s.select(F.col("s_suppkey").cast("string").alias("partner_id"), F.concat(F.lit("ооо "), F.col("name")).alias("partner_name"), F.lit(None).cast("string").alias("partner_full_name"))
-    asked = s.select("s_suppkey", F.concat(F.lit("ООО '"), F.upper("name"), F.lit("'")).alias("sender"))
-    found = resolve.resolve_sender(asked, partners)
-    return asked.join(found, "sender").select(F.col("s_suppkey").alias("id"), F.size("ids").alias("n"), F.get("ids", F.lit(0)).cast("bigint").alias("best"))
+    """Partners with names in capitals, asked for by the name itself (exact), in small letters and another order (by score), in capitals with a sign (no score, as only the partner's letters are made small), and by the word for an unknown sender."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("partner_id"), "p_name", "p_type", F.upper(F.concat_ws(" ", F.lit("ооо"), "p_name", "p_type")).alias("partner_name"), F.lit(None).cast("string").alias("partner_full_name"))
+    turned = F.concat(F.lower("p_type"), F.lit(" "), F.array_join(F.reverse(F.split("p_name", " ")), " "), F.lit(' "ооо"'))
+    asked = p.select(F.explode(F.array(F.col("partner_name"), turned, F.concat(F.lit("#"), "partner_name"), F.lit(T.UNKNOWN))).alias("sender"))
+    return resolve.resolve_sender(asked, p).select("sender", F.array_join("ids", ",").alias("ids"))
 
 
-@query("""SELECT p_partkey, round(hits / n, 3) AS precision, round(hits / n, 3) AS recall FROM (SELECT p_partkey, len(w)::DOUBLE AS n,
-    (SELECT count(*) FROM (SELECT unnest(w) AS a) x, (SELECT unnest(w) AS b) y WHERE a = b)::DOUBLE AS hits FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part WHERE p_name <> '')) WHERE hits <= n""")
+@query("""WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS t, string_split(lower(p_type) || ' ' || p_name, ' ') AS p FROM part WHERE p_name <> ''), x AS (SELECT p_partkey, len(t) AS nt, len(p) AS np, unnest(p) AS a, t FROM w), y AS (SELECT p_partkey, nt, np, a, unnest(t) AS b FROM x),
+    h AS (SELECT p_partkey, nt, np, count(*) FILTER (100 * (jaro_similarity(a, b) + 0.1 * (1 - jaro_similarity(a, b)) * CASE WHEN a[1:4] = b[1:4] THEN 4 WHEN a[1:3] = b[1:3] THEN 3 WHEN a[1:2] = b[1:2] THEN 2 WHEN a[1] = b[1] THEN 1 ELSE 0 END) > 90) AS hits FROM y GROUP BY ALL)
+    SELECT p_partkey, round(hits / greatest(hits, np)::DOUBLE, 3) AS precision, round(hits / greatest(hits, nt)::DOUBLE, 3) AS recall FROM h""")
 def word_precision_recall(spark, sf):
-    """Words of a name against the same name with signs: each word hits itself."""
+    """A name behind its type, with signs, against the name alone; repeated words are hit more than once."""
     p = table(spark, sf, "part").where("p_name <> ''")
-    both = evaluate.word_matches(F.concat(F.lit("«"), "p_name", F.lit("»")), F.col("p_name"))
-    n, w = F.size(F.split("p_name", " ")), F.split("p_name", " ")
-    hits = F.aggregate(w, F.lit(0), lambda s, a: s + F.size(F.filter(w, lambda b: a == b)))
-    return p.where(hits <= n).select("p_partkey", both.alias("r")).select("p_partkey", "r.precision", "r.recall")
+    both = evaluate.word_matches(F.concat(F.lower("p_type"), F.lit(" «"), "p_name", F.lit("»")), F.col("p_name"))
+    return p.select("p_partkey", both.alias("r")).select("p_partkey", "r.precision", "r.recall")

@@ -86,10 +86,14 @@ def reference_rows_of_ids(spark, sf):
     return frames.rows_of_ids(asked, "ids", table(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey").select("o_orderkey", "n_nationkey", "n_name")
 
 
-@query("SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS v0, round(embedding[2]::DOUBLE, 6) AS v1, round(embedding[3]::DOUBLE, 6) AS v2 FROM embeddings")
+#: Places of a vector.
+PLACES = 64
+
+
+@query(f"SELECT vec_id, {', '.join(f'round(embedding[{i + 1}]::DOUBLE, 6) AS v{i}' for i in range(PLACES))} FROM embeddings")
 def wide_embeddings(spark, sf):
-    w = frames.wide(table(spark, sf, "embeddings"), "embedding", 3, ("label",))
-    return w.select("vec_id", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("v0", "v1", "v2")])
+    w = frames.wide(table(spark, sf, "embeddings"), "embedding", PLACES, ("label",))
+    return w.select("vec_id", *[F.round(F.col(f"v{i}").cast("double"), 6).alias(f"v{i}") for i in range(PLACES)])
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey * 2)::VARCHAR END AS doubled, CASE WHEN o_orderkey % 5 = 0 THEN 'ValueError' END AS error FROM orders""")
@@ -236,13 +240,20 @@ def canonical_words(spark, sf):
     return words.select("word", resolve.canonical_sender(F.col("word"), [("bolt", []), ("ring", [])]).alias("known"))
 
 
-MONTHS = {**D.MONTHS, **D.SHORTENED}
-
-
-@query(f"SELECT word, number::VARCHAR AS number FROM (VALUES {', '.join(f'({chr(39)}{w}{chr(39)}, {n})' for w, n in MONTHS.items())}, ('Января', NULL), ('maj', NULL)) t(word, number)")
+@query(f"""WITH m AS (SELECT o_orderkey, month(o_orderdate) AS k FROM orders) SELECT o_orderkey, ({list(D.MONTHS)})[k] AS word, k::VARCHAR AS number, k::VARCHAR AS short FROM m""")
 def month_words(spark, sf):
-    """All month words, a capitalised one and another word, by the translator."""
-    return spark.createDataFrame([(w,) for w in (*MONTHS, "Января", "maj")], "word string").select("word", D.month_number(F.col("word")).cast("string").alias("number"))
+    """The month of each order as a word, the number of the word, and that of its first three letters, which are a short form."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.get(F.array(*map(F.lit, D.MONTHS)), F.month("o_orderdate") - 1).alias("word"))
+    number = lambda c: F.coalesce(D.month_number(c).cast("string"), F.lit(""))
+    return o.select("o_orderkey", "word", number(F.col("word")).alias("number"), number(F.substring("word", 1, 3)).alias("short"))
+
+
+@query(f"""SELECT o_orderkey, day(o_orderdate) || ' ' || ({list(D.ENGLISH)})[month(o_orderdate)] || ' ' || year(o_orderdate) AS english FROM orders""")
+def month_translation(spark, sf):
+    """Dates with Russian months, with English ones."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.get(F.array(*map(F.lit, D.MONTHS)), F.month("o_orderdate") - 1).alias("word"))
+    russian = F.concat_ws(" ", F.dayofmonth("o_orderdate").cast("string"), "word", F.year("o_orderdate").cast("string"))
+    return o.select("o_orderkey", D.with_english_months(russian).alias("english"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'О поставке товара ' || o_custkey WHEN 1 THEN 'Об оплате счёта' END AS subject FROM orders""")

@@ -54,14 +54,6 @@ def test_strings():
     assert abs(S.jaro("MARTHA", "MARHTA") - 0.944444) < 1e-6 and abs(S.jaro_winkler("MARTHA", "MARHTA") - 0.961111) < 1e-6 and S.jaro("", "a") == 0
 
 
-def test_joins_over_whole_table(spark, sf):
-    """Every part is on the right side of the exact union; names with other first letters are compared, too."""
-    part = spark.read.parquet(f"{sf}/part.parquet")
-    assert QUERIES["exact_union_dedupe_whole"](spark, sf).select("s").distinct().count() == part.count()
-    n, pairs = part.select("p_name").distinct().count(), QUERIES["jaro_winkler_whole"](spark, sf).collect()
-    assert len(pairs) == n * (n - 1) // 2 and any(p.a[0] != p.b[0] and p.sim > 0.7 for p in pairs)
-
-
 def test_average_linkage(spark):
     """Linkage inside near components equals linkage over all rows."""
     import numpy as np
