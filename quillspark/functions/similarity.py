@@ -113,7 +113,7 @@ def jaro_winkler(a: str, b: str, scaling: float = 0.1) -> float:
     return base + prefix * scaling * (1 - base)
 
 
-def _arrow(f: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
+def as_udf(f: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
     """A column function; null if either text is null. Equal pairs of a batch are worked out once."""
 
     @F.pandas_udf(DoubleType())
@@ -132,12 +132,12 @@ def _arrow(f: Callable[[str, str], float]) -> Callable[[Column, Column], Column]
     return scored
 
 
-indel_ratio, token_sort_ratio, partial_ratio, weighted_ratio, jaro_winkler_ratio = map(_arrow, (indel, token_sort, partial, weighted, jaro_winkler))
+indel_ratio, token_sort_ratio, partial_ratio, weighted_ratio, jaro_winkler_ratio = map(as_udf, (indel, token_sort, partial, weighted, jaro_winkler))
 
 
 def jaro_winkler_scaled(scaling: float) -> Callable[[Column, Column], Column]:
     """Jaro-Winkler with another weight of the common prefix."""
-    return _arrow(lambda a, b: jaro_winkler(a, b, scaling))
+    return as_udf(lambda a, b: jaro_winkler(a, b, scaling))
 
 
 def can_reach(a: Column, b: Column, least: float) -> Column:

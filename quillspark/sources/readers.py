@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -34,20 +35,58 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METADATA).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "utf-8", sep: str = ",") -> DataFrame:
-    """CSV with a header and a declared schema. Spark reads UTF-8; reference tables in other encodings are decoded file by file."""
-    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
-        return spark.read.schema(schema).option("header", True).option("sep", sep).option("multiLine", True).csv(path)
+def _single_byte(encoding: str) -> str | None:
+    """The characters of bytes 128 to 255 in an encoding of one byte a character in which ASCII stays; null for other encodings."""
+    if bytes(range(128)).decode(encoding, errors="replace") != bytes(range(128)).decode("ascii"):
+        return None
+    high = [bytes([b]).decode(encoding, errors="replace") for b in range(128, 256)]
+    return "".join(high) if all(len(c) == 1 for c in high) and len({*high} - {"\ufffd"}) > 64 else None
+
+
+def decoded(text: Column, encoding: str) -> Column:
+    """A text that was read as Latin 1, that is byte by byte, in its true encoding of one byte a character."""
+    high = _single_byte(encoding)
+    return F.translate(text, bytes(range(128, 256)).decode("latin-1"), high)
+
+
+def read_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """(value): the lines of text files. Files in encodings of one byte a character are read in splits, as those in UTF-8 are."""
+    if _utf8(encoding):
+        return spark.read.text(path)
+    if _single_byte(encoding):  # lines are kept as the bytes that they are
+        return spark.read.text(path).select(decoded(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), encoding).alias("value"))
+    whole = lambda batches: (pd.DataFrame({"value": c.decode(encoding).splitlines()}) for b in batches for c in b["content"])
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(whole, "value string")
+
+
+def _utf8(encoding: str) -> bool:
+    return codecs.lookup(encoding).name == "utf-8"
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "utf-8", sep: str = ",", multi_line: bool | None = None) -> DataFrame:
+    """CSV with a header and a declared schema; values that do not fit it are null.
+
+    In encodings of one byte a character, such as windows-1251, Spark reads the bytes as Latin 1 and their texts are
+    translated, so a large file is many tasks. A record with line breaks inside needs multi_line, which reads a file in
+    one task; it is the default for UTF-8 only. Files in other encodings are decoded one by one.
+    """
     wanted = StructType.fromDDL(schema)
     texts = StructType([StructField(f.name, StringType()) for f in wanted])
-
-    def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    typed = lambda rows: rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+    read = spark.read.option("header", True).option("sep", sep)
+    if _utf8(encoding):
+        return read.schema(schema).option("multiLine", multi_line is not False).csv(path)
+    if _single_byte(encoding):
+        # the header is in the file's encoding, so columns go by place, not by name
+        rows = read.schema(texts).option("encoding", "ISO-8859-1").option("enforceSchema", True).option("multiLine", bool(multi_line)).csv(path)
+        return typed(rows.select(*[decoded(F.col(f.name), encoding).alias(f.name) for f in wanted]))
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
                 yield pd.read_csv(io.BytesIO(content), encoding=encoding, sep=sep, dtype=str, keep_default_na=False, na_values=[""])[texts.names]
 
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(decoded, texts)
-    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted])
+    return typed(spark.read.format("binaryFile").load(path).select("content").mapInPandas(whole, texts))
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
