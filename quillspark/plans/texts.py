@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.operators import error_rates as E
-from quillspark.operators import rouge
+from quillspark.operators import encoder, rouge, truncation
 from quillspark.plans.queries import query
 from quillspark.sources.readers import table
 
@@ -55,3 +55,21 @@ def word_error_rates(spark, sf):
     """Edits of words from each turn to the next, by the role that speaks."""
     roles = table(spark, sf, "conversations").select("conv_id", "turn", "role")
     return E.error_rates(_turns(spark, sf).join(roles, ["conv_id", "turn"]), ["role"], "truth", "predicted", words=True)
+
+
+@query()
+def encoded_documents(spark, sf):
+    """Each whole document as a vector of the encoder, by windows."""
+    out = encoder.encoded(table(spark, sf, "documents"), "doc_id", "text")
+    return out.select("doc_id", "n_windows", F.transform("vector", lambda x: F.round(x, 6)).alias("vector"))
+
+
+LIMITS = [64, 128, 256, 512, 1024]
+
+
+@query()
+def truncation_study(spark, sf):
+    """What limits on tokens leave of the documents, with a vocabulary of their own words' pieces."""
+    docs = table(spark, sf, "documents")
+    rows = truncation.study(docs, "doc_id", "text", truncation.vocabulary(docs, "text", 5000), LIMITS)
+    return truncation.kept_shares(rows)
