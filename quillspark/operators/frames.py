@@ -97,6 +97,23 @@ def rows_of_ids(df: DataFrame, ids: str, reference: DataFrame, id_: str) -> Data
     return df.withColumn(id_, F.explode(F.array_distinct(ids))).join(reference, id_)
 
 
+def shared_and_rest(ids: Column, others: Column) -> tuple[Column, Column]:
+    """The distinct values that both arrays have, and those that only the first has; sorted."""
+    return F.array_sort(F.array_intersect(ids, others)), F.array_sort(F.array_except(ids, others))
+
+
+def texts_of_groups(df: DataFrame, group: str, text: str, order: str) -> DataFrame:
+    """(group, place, text, n): the texts of each group by order, from 0, and the group's size; rows, not one list, so that a group may be of any size."""
+    sizes = df.groupBy(group).agg(F.count("*").alias("n"))
+    placed = df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
+    return placed.join(sizes, group).select(group, "place", F.col(text).alias("text"), "n")
+
+
+def rows_of(df: DataFrame, key: str, wanted: list) -> DataFrame:
+    """Rows whose key is in a list of the caller; the list goes into the plan and reaches the scan."""
+    return df.where(F.col(key).isin(wanted))
+
+
 def wide(df: DataFrame, vector: str, n: int, drop: tuple[str, ...] = ()) -> DataFrame:
     """The first n places of a vector as columns v0, v1 ... instead of it, without the columns that are not wanted."""
     kept = [c for c in df.columns if c not in (vector, *drop)]

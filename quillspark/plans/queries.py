@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import dates as D
 from quillspark.functions import similarity as S
 from quillspark.functions import text as T
-from quillspark.operators import cluster, entities, evaluate, groups, layout, resolve, search
+from quillspark.operators import cluster, evaluate, frames, groups, layout, resolve, search
 from quillspark.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,8 +243,8 @@ def histogram(spark, sf):
 
 @query("SELECT count(*) AS n, round(min(o_totalprice), 2) AS low, round(avg(o_totalprice), 4) AS mean, round(max(o_totalprice), 2) AS high FROM orders")
 def summary_stats(spark, sf):
-    p = "o_totalprice"
-    return table(spark, sf, "orders").agg(F.count("*").alias("n"), F.round(F.min(p), 2).alias("low"), F.round(F.avg(p), 4).alias("mean"), F.round(F.max(p), 2).alias("high"))
+    out = frames.summary(table(spark, sf, "orders"), "o_totalprice")
+    return out.select("n", *[F.round(c, d).alias(c) for c, d in (("low", 2), ("mean", 4), ("high", 2))])
 
 
 @query("SELECT length(text) AS size, count(*) AS n FROM documents GROUP BY 1")
@@ -263,7 +263,7 @@ def two_way_semi(spark, sf):
 
 @query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def anti_validation(spark, sf):
-    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left_anti").select("doc_id", "source")
+    return resolve.without(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id").select("doc_id", "source")
 
 
 @query("""SELECT c_custkey, coalesce(n_name, c_nationkey::VARCHAR) AS resolved FROM customer LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 12) ON n_nationkey = c_nationkey""")
@@ -395,8 +395,7 @@ def precision_recall_weighted(spark, sf):
 @query("SELECT CASE WHEN toxic IS NULL THEN 'unknown' WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' ELSE 'poor' END AS status, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
 def status_breakdown(spark, sf):
     both = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
-    status = F.when(F.col("toxic").isNull(), "unknown").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor")
-    return both.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    return frames.status_counts(both, {"unknown": F.col("toxic").isNull(), "toxic": F.col("toxic") == 1, "good": F.col("quality") == 1}, "poor")
 
 
 # --- dates, numbers, arrays, JSON ---------------------------------------------------------------------------------
@@ -404,7 +403,7 @@ def status_breakdown(spark, sf):
 
 @query("SELECT doc_id, nullif(regexp_extract(text, '[0-9]{1,2}\\.[0-9]{2}\\.[0-9]{2,4}', 0), '') AS found FROM documents")
 def date_extract(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.nullif(F.regexp_extract("text", r"\d{1,2}\.\d{2}\.\d{2,4}", 0), F.lit("")).alias("found"))
+    return table(spark, sf, "documents").select("doc_id", F.ltrim(D.find_date(F.col("text"))["text"]).alias("found"))
 
 
 @query("""SELECT dif, count(*) AS n FROM (SELECT datediff('day', o_orderdate, l_shipdate) AS dif FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE dif >= 0 AND dif < 1000 GROUP BY dif""")
@@ -429,7 +428,8 @@ def number_extract(spark, sf):
     array_to_string(list_sort(list_filter(list_distinct(string_split(p_name, ' ')), lambda x: x NOT IN ('red', 'blue', 'ring', 'bolt'))), ' ') AS rest FROM part""")
 def array_set_ops(spark, sf):
     words, fixed = F.split("p_name", " "), F.array(*map(F.lit, ("red", "blue", "ring", "bolt")))
-    return table(spark, sf, "part").select("p_partkey", F.size(F.array_intersect(words, fixed)).cast("bigint").alias("shared"), F.array_join(F.array_sort(F.array_except(words, fixed)), " ").alias("rest"))
+    shared, rest = frames.shared_and_rest(words, fixed)
+    return table(spark, sf, "part").select("p_partkey", F.size(shared).cast("bigint").alias("shared"), F.array_join(rest, " ").alias("rest"))
 
 
 @query("SELECT p_partkey, list_contains(string_split(p_name, ' '), 'red') AS found, len(string_split(p_name, ' ')) AS n FROM part")
@@ -453,7 +453,7 @@ def folder_buckets(spark, sf):
     return groups.bucketed(table(spark, sf, "documents").select("doc_id"), "doc_id", 300)
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100 < 85 THEN 'train' ELSE 'test' END AS part FROM documents")
 def hash_split(spark, sf):
     return groups.hash_split(table(spark, sf, "documents").select("doc_id"), "doc_id", 85)
 
