@@ -113,7 +113,9 @@ def _possible(index: VectorIndex, probes: int):
     return chosen
 
 
-def _best(k: int):
+def best_of_part(k: int):
+    """A function of two Arrow tables, rows (id, v) and queries (query_id, q, least), for cogroup."""
+
     def best(rows: pa.Table, asked: pa.Table) -> pa.Table:
         """The k best rows of a part of a cell for each query that asks it."""
         none = pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "cos": pa.array([], pa.float64())})
@@ -143,7 +145,7 @@ def _search(index: VectorIndex, asked: DataFrame, k: int) -> DataFrame:
     parts = F.element_at(F.array(*[F.lit(max(1, -(-int(n) // ROWS))) for n in index.size]), F.col("cell") + 1)
     rows = index.rows(spark, cells).withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("long"))
     each = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    return rows.groupBy("cell", "part").cogroup(each.groupBy("cell", "part")).applyInArrow(_best(k), HITS)
+    return rows.groupBy("cell", "part").cogroup(each.groupBy("cell", "part")).applyInArrow(best_of_part(k), HITS)
 
 
 def _placed(hits: DataFrame, k: int) -> DataFrame:

@@ -44,7 +44,8 @@ def _hits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT query_id, id, cos, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cos DESC, id) AS place FROM ({PAIRS})) WHERE place <= 5")
 def vector_topk(spark, sf):
-    return search.top_k(_hits(spark, sf), 5)
+    e = table(spark, sf, "embeddings")
+    return search.nearest(e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 5)
 
 
 @query(f"""SELECT query_id, label, id, cos, place::INT AS place FROM (SELECT p.*, label, row_number() OVER (PARTITION BY query_id, label ORDER BY cos DESC, id) AS place
@@ -469,6 +470,31 @@ def dbscan_labels(spark, sf):
     return cluster.dbscan(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.4)
 
 
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({GRAPH.replace('0.4', '0.99875')}), r(id, seen) AS (SELECT a, a FROM e UNION SELECT r.id, e.b FROM r JOIN e ON r.seen = e.a),
+    c AS (SELECT id, min(seen) AS cluster FROM r GROUP BY id) SELECT vec_id AS id, coalesce(cluster, -1) AS cluster FROM embeddings LEFT JOIN c ON id = vec_id""")
+def dbscan_close(spark, sf):
+    """A distance of 0.05 between unit vectors."""
+    return cluster.dbscan(table(spark, sf, "embeddings"), "vec_id", "embedding", 1 - 0.05**2 / 2)
+
+
+@query()
+def communities(spark, sf):
+    """Neighbourhoods of cosine 0.35 without overlap, of five rows at least."""
+    return cluster.communities(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.35, 5)
+
+
+@query()
+def avg_linkage_close(spark, sf):
+    """Average linkage at a cosine distance of 0.04."""
+    return cluster.average_linkage(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.04)
+
+
+@query()
+def kmeans_many(spark, sf):
+    """90 clusters."""
+    return cluster.kmeans(table(spark, sf, "embeddings"), "vec_id", "embedding", 90)
+
+
 @query()
 def avg_linkage_labels(spark, sf):
     return cluster.average_linkage(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.62)
