@@ -21,6 +21,28 @@ def empty_to_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).rlike(r"(?U)\S"), F.col(c)) for c in columns})
 
 
+def without_nulls(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without a null in the columns; without columns, in any."""
+    return df.dropna(subset=list(columns or df.columns))
+
+
+def rows_of_mapping(df: DataFrame, column: str, value: str) -> DataFrame:
+    """(key, fields of value): a JSON object of objects as rows, one an entry; value is the DDL of the inner objects. Entries of null go."""
+    entries = df.select(F.explode(F.from_json(column, f"map<string,struct<{value}>>")).alias("key", "fields"))
+    return entries.where("fields is not null").select("key", "fields.*")
+
+
+def lookup(df: DataFrame, on: list[tuple[str, str]], reference: DataFrame, value: str, order: list[Column], into: str) -> DataFrame:
+    """df with, as `into`, the value of the first row of the reference, by order, that agrees in the pairs of columns; null without one.
+
+    What a look-up inside a loop over rows does, as one join: the reference is reduced to its first rows before.
+    """
+    keys = [r for _, r in on]
+    first = reference.groupBy(*keys).agg(F.min_by(value, F.struct(*order)).alias(into)).select(*[F.col(r).alias(f"key_{i}") for i, r in enumerate(keys)], into)
+    met = [df[d] == first[f"key_{i}"] for i, (d, _) in enumerate(on)]
+    return df.join(first, met, "left").drop(*[f"key_{i}" for i in range(len(on))])
+
+
 def sized(df: DataFrame, column: str, least: int, most: int) -> DataFrame:
     """Rows whose text has between `least` and `most` characters, both included; null texts go."""
     return df.where(F.length(column).between(least, most))
@@ -46,9 +68,10 @@ def unique_in_order(df: DataFrame, column: str, order: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.min(order).alias("first"), F.count("*").alias("n"))
 
 
-def distinct_lists(df: DataFrame, column: str) -> DataFrame:
-    """(list, size, n) of equal lists, in which order counts."""
-    return df.groupBy(F.col(column).alias("list")).agg(F.count("*").alias("n")).withColumn("size", F.size("list"))
+def distinct_lists(df: DataFrame, column: str, longer_than: int | None = None) -> DataFrame:
+    """(list, size, n) of equal lists, in which order counts; if wanted, of those with more than so many values."""
+    lists = df.groupBy(F.col(column).alias("list")).agg(F.count("*").alias("n")).withColumn("size", F.size("list"))
+    return lists if longer_than is None else lists.where(F.col("size") > longer_than)
 
 
 def quantiles(df: DataFrame, column: str, shares: list[float], segments: int = 64) -> DataFrame:

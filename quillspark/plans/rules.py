@@ -269,3 +269,31 @@ def map_and_flatten(spark, sf):
     p = table(spark, sf, "part").where("p_name is not null and p_type is not null")
     more = frames.with_entries(F.create_map(F.lit("size"), F.col("p_size")), F.create_map(F.lit("brand"), F.col("p_size"), F.lit("size"), F.lit(0)))
     return p.select("p_partkey", F.array_join(F.array_sort(F.map_keys(more)), ",").alias("keys"), F.array_join(F.flatten(F.array(F.split("p_name", " "), F.array("p_type"))), "|").alias("flat"))
+
+
+@query("""SELECT event_id, k FROM (SELECT event_id, (props->>'$.k')::BIGINT AS k, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS kind FROM events) WHERE k IS NOT NULL AND kind IS NOT NULL""")
+def complete_rows(spark, sf):
+    """Rows without any null."""
+    e = table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"))
+    return frames.without_nulls(e).select("event_id", "k")
+
+
+@query("SELECT n_nationkey::VARCHAR AS key, n_name AS name, n_regionkey::INT AS region FROM nation")
+def mapping_to_rows(spark, sf):
+    """A JSON object of objects, made of the nations, back to rows."""
+    n = table(spark, sf, "nation").select(F.to_json(F.map_from_arrays(F.array(F.col("n_nationkey").cast("string")), F.array(F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))))).alias("raw"))
+    return frames.rows_of_mapping(n, "raw", "name string, region int")
+
+
+@query("""SELECT c_custkey, coalesce((SELECT o_orderkey FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = CASE WHEN c_mktsegment = 'BUILDING' THEN '1-URGENT' ELSE '5-LOW' END ORDER BY o_orderdate DESC, o_orderkey LIMIT 1), -1) AS last FROM customer""")
+def correlated_lookup(spark, sf):
+    """Of each customer the last order of a priority that its segment tells: a look-up for every row, as one join."""
+    c = table(spark, sf, "customer").withColumn("wanted", F.when(F.col("c_mktsegment") == "BUILDING", "1-URGENT").otherwise("5-LOW"))
+    out = frames.lookup(c, [("c_custkey", "o_custkey"), ("wanted", "o_orderpriority")], table(spark, sf, "orders"), "o_orderkey", [-F.unix_seconds(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey")], "last")
+    return out.select("c_custkey", F.coalesce("last", F.lit(-1)).alias("last"))
+
+
+@query("SELECT array_to_string(list, '|') AS list, len(list)::INT AS size, n FROM (SELECT string_split(p_name, ' ') AS list, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY 1) WHERE len(list) > 1")
+def longer_word_lists(spark, sf):
+    lists = table(spark, sf, "part").where("p_name is not null").select(F.split("p_name", " ").alias("words"))
+    return frames.distinct_lists(lists, "words", 1).withColumn("list", F.array_join("list", "|"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.operators import error_rates as E
-from quillspark.operators import encoder, rouge, truncation
+from quillspark.operators import encoder, rouge, summary, truncation
 from quillspark.plans.queries import query
 from quillspark.sources.readers import table
 
@@ -73,3 +73,21 @@ def truncation_study(spark, sf):
     docs = table(spark, sf, "documents")
     rows = truncation.study(docs, "doc_id", "text", truncation.vocabulary(docs, "text", 5000), LIMITS)
     return truncation.kept_shares(rows)
+
+
+SENTENCES = r"list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+|\n+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+@query(f"""WITH s AS (SELECT doc_id, unnest(p) AS sentence, generate_subscripts(p, 1) AS place FROM (SELECT doc_id, {SENTENCES} AS p FROM documents)), w AS (SELECT doc_id, place, sentence, unnest(CASE WHEN len(u) = 0 THEN [NULL] ELSE u END) AS word FROM (SELECT *, list_distinct({WORDS.format('sentence')}) AS u FROM s)),
+    h AS (SELECT word, ln((SELECT count(*) FROM documents)::DOUBLE / count(DISTINCT doc_id)) AS weight FROM w WHERE word IS NOT NULL GROUP BY word), v AS (SELECT doc_id, place, any_value(sentence) AS sentence, round(avg(coalesce(weight, 0)), 6) AS worth FROM w LEFT JOIN h USING (word) GROUP BY doc_id, place),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY worth DESC, place) AS k FROM v) SELECT doc_id, md5(coalesce(string_agg(sentence, ' ' ORDER BY place), '')) AS digest FROM documents LEFT JOIN r USING (doc_id) WHERE k <= 3 OR k IS NULL GROUP BY doc_id""")
+def summaries(spark, sf):
+    """The three most telling sentences of each document."""
+    out = summary.summaries(table(spark, sf, "documents"), "doc_id", "text")
+    return out.select("doc_id", F.md5(F.coalesce("summary", F.lit(""))).alias("digest"))
+
+
+@query()
+def search_by_summary(spark, sf):
+    """Documents nearest to the summary of every 50th."""
+    return summary.search_by_summary(table(spark, sf, "documents"), "doc_id", "text", F.col("doc_id") % 50 == 0, 5)

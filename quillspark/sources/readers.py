@@ -91,7 +91,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "utf-8
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object of texts as (source, target) rows; null values go."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     pairs = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("source", "target"))
     return pairs.where("target is not null")
 
@@ -102,6 +102,26 @@ def write_mapping(df: DataFrame, path: str) -> None:
     df.where("source is not null").groupBy("source").agg(F.min("target").alias("target")).agg(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def with_content(metadata: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the metadata with a content that is not blank and a PDF among their files. files: doc_id, extension."""
+    pdf = files.where(F.lower("extension") == ".pdf")
+    return metadata.where(F.col("content").rlike(r"(?U)\S")).join(pdf, "doc_id", "left_semi")
+
+
+def read_dataset(spark: SparkSession, path: str, schema: str | None = None, form: str | None = None) -> DataFrame:
+    """A table in CSV (with a header), JSON lines, one JSON array (form json_array) or Parquet, by the end of its path if no form is given. Only Parquet needs no schema."""
+    form = form or path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if form != "parquet" and schema is None:
+        raise ValueError("files without a schema of their own need one")
+    if form == "csv":
+        return read_csv(spark, path, schema)
+    if form in ("json", "jsonl"):
+        return spark.read.schema(schema).json(path)
+    if form == "json_array":
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.parquet(path)
+
+
 def nth_file(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, id, extension) of the file at place n, from 0, by its order; documents with fewer files have no row."""
     by_order = F.array_sort(F.transform("files", lambda f: F.struct(f["order"].alias("order"), f["id"].alias("id"), f["extension"].alias("extension"))))

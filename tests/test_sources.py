@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import tables
-from quillspark.sources import readers
+from quillspark.sources import readers, settings
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +87,43 @@ def test_table_functions(spark):
     got = spark.sql("SELECT * FROM case_islands(TABLE({lines}), 'k', 'place', 'line')", lines=lines).collect()
     assert sorted(map(tuple, got)) == [("x", 0, 2, "UP UP2"), ("x", 1, 1, "low"), ("x", 2, 1, "B"), ("y", 0, 2, " a")]
     assert spark.sql("SELECT partial_ratio('abc', 'xxabc') AS s").first().s == 100
+
+
+def test_settings(spark, tmp_path):
+    text = "RS: 7\nLEV_DISTANCE: 70 # threshold\nESTIMATOR_SIGNER: 'jaro_winkler'\nUNKNOWN: 1\nASSETS:\n  employees:\n    path: '/data/e.csv'\n  topics: null\n"
+    (tmp_path / "params.yaml").write_text(text)
+    got = settings.read_settings(spark, str(tmp_path / "params.yaml"))
+    assert (got.rs, got.lev_distance, got.estimator_signer, got.estimator_sender, got.assets) == (7, 70.0, "jaro_winkler", "jaro_winkler", {"employees": "/data/e.csv"})
+    (tmp_path / "none.yaml").write_text("")
+    assert settings.read_settings(spark, str(tmp_path / "none.yaml")) == settings.Settings()
+    with pytest.raises(ValueError, match="estimator"):
+        settings.parsed("ESTIMATOR_SENDER: other")
+    rows = spark.createDataFrame([(1, 59.0), (2, 60.0), (3, 71.0), (4, None)], "doc_id long, similarity double")
+    assert [settings.accepted(rows, got, e).first().share for e in ("sender", "signer")] == [0.5, 0.25]
+
+
+def test_settings_choose_estimators(spark):
+    blocks = spark.createDataFrame([(1, 1, 0.9, "ООО Ромашка плюс"), (1, 1, 0.9, "другой текст")], "doc_id long, page_num int, ybot double, text string")
+    truth = spark.createDataFrame([(1, "ромашка", "x")], "doc_id long, sender string, signer string")
+    targets = lambda s: sorted(r.target for r in settings.mark_senders(blocks, truth, s).collect())
+    assert targets(settings.parsed("ESTIMATOR_SENDER: lev_distance")) == ["other", "sender"] and targets(settings.Settings()) == []
+
+
+def test_datasets(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a,b"), (2, None)], "id int, t string")
+    readers.write_table(df, f"{tmp_path}/x.parquet")
+    df.write.json(f"{tmp_path}/x.json")
+    df.write.option("header", True).csv(f"{tmp_path}/x.csv")
+    (tmp_path / "y.json").write_text('[{"id": 1, "t": "a,b"},\n {"id": 2}]')
+    for path, form in (("x.parquet", None), ("x.json", None), ("x.csv", None), ("y.json", "json_array")):
+        assert sorted(map(tuple, readers.read_dataset(spark, f"{tmp_path}/{path}", "id int, t string", form).collect())) == [(1, "a,b"), (2, None)]
+    with pytest.raises(ValueError, match="schema"):
+        readers.read_dataset(spark, f"{tmp_path}/x.csv")
+    meta = spark.createDataFrame([("a", "text"), ("b", " \n"), ("c", None), ("d", "t"), ("e", "t")], "doc_id string, content string")
+    files = spark.createDataFrame([("a", ".PDF"), ("b", ".pdf"), ("d", ".doc"), ("a", ".pdf")], "doc_id string, extension string")
+    assert [r.doc_id for r in readers.with_content(meta, files).collect()] == ["a"]
+
+
+def test_mapping_of_several_lines(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{\n  "a": "x",\n  "b": null,\n  "c": "y"\n}\n')
+    assert sorted(map(tuple, readers.read_mapping(spark, str(tmp_path / "m.json")).collect())) == [("a", "x"), ("c", "y")]

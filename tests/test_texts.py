@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import error_rates, rouge
+from quillspark.operators import error_rates, rouge, summary
 
 PAIRS = [(1, "the cat sat on the mat", "the cat lay on a mat the"), (2, "", "words"), (3, None, None), (4, "one", "one"), (5, "a b a b a", "b a b"), (6, "Ёлка, ёлка!", "ёлка"), (7, "x y z", "z y x"), (8, "!!", "?")]
 
@@ -78,3 +78,11 @@ def test_error_rates(spark):
     plan = error_rates.error_rates(df, ["g"], "t", "f")._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan.split("Exchange")[-1]
     assert error_rates.error_rates(df.select(F.lit("g").alias("g"), "t", "f"), ["g"], "t", "f").first()["size"] == sum(len(t or "") for _, t, _ in rows)
+
+
+def test_summaries(spark):
+    rows = [(1, "Common words here. Rare zebra! Common words here? Unusual quagga and okapi.\nLast line"), (2, "Common words here. common."), (3, ""), (4, None), (5, "!!! ..."), (6, "x " * 3000)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = {r.id: r.summary for r in summary.summaries(df, "id", "t", 2).collect()}
+    assert got[1] == "Rare zebra! Unusual quagga and okapi." and got[3] is got[4] is None and got[5] == "!!! ..." and got[6] == ("x " * 3000).strip() and len(got) == 6
+    assert summary.summaries(df.limit(0), "id", "t").count() == 0
