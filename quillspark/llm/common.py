@@ -22,10 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, spark.checkpoint.dir; only where a session names none (tests) is a temporary one set."""
+    """The checkpoint folder, spark.checkpoint.dir. Where a session names none, a temporary one serves in local mode; a cluster has to name one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import SLICE_BYTES, released, sliced, text_bytes
+from quillspark.llm.common import SLICE_BYTES, released, sliced, stored, text_bytes
 
 #: Segments have SEGMENT bytes and begin every STRIDE; a shorter item is one segment. Items under LEAST bytes have to occur as they are.
 SEGMENT, STRIDE, LEAST = 64, 32, 20
@@ -233,7 +234,7 @@ def _match(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
 
 
 def shares(benchmark: DataFrame, share_bytes: int = SHARE_BYTES) -> Iterator[Index]:
-    """Indexes of the items, of bounded size each: what goes to the driver at once does not grow with the table."""
+    """Indexes of the items, of bounded size each, made one after the other: the callers store what one gives before they take the next, so the driver holds one at a time."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where(F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -254,11 +255,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kinds = "doc_id bigint, item_id bigint, n_found int, n_segments int, least_edits int"
-    out = None
+    parts: list[DataFrame] = []
     for index in shares(benchmark):
-        one = rows.mapInArrow(lambda b, index=index: _match(b, index), kinds)
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else docs.sparkSession.createDataFrame([], kinds)
+        if parts:
+            parts[-1] = stored(parts[-1])
+        parts.append(rows.mapInArrow(lambda b, index=index: _match(b, index), kinds))
+    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], kinds)
 
 
 def _clean(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
@@ -275,6 +277,8 @@ def _clean(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in which no segment of the benchmark is found; all columns as they are, null texts too."""
-    for index in shares(benchmark):
+    for n, index in enumerate(shares(benchmark)):
+        if n:
+            docs = stored(docs)
         docs = docs.mapInArrow(lambda b, index=index: released(_clean(b, index)), docs.schema)
     return docs

@@ -148,10 +148,10 @@ def group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id; all columns as they are.
 
-    Of rows that share that doc_id one stays. Rows with a null doc_id are compared with none and stay.
+    Of rows that share that doc_id the one whose text has the smallest hash stays. Rows with a null doc_id are compared with none and stay.
     """
     id_, place = fresh(docs, "chosen_id"), fresh(docs, "place")
     chosen = group(docs, radius).where("doc_id = component_id").select(F.col("doc_id").alias(id_)).distinct()
     kept = docs.join(chosen, docs["doc_id"].cast("bigint") == F.col(id_), "left_semi")
-    one = kept.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where(F.col(place) == 1).drop(place)
+    one = kept.withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text").cast("string"))))).where(F.col(place) == 1).drop(place)
     return one.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import give_back, held_out, mixed, run_hashes, runs, sliced, text_bytes
@@ -22,7 +22,7 @@ IN_WORD = np.zeros(256, bool)
 IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 BASE = 0x9E3779B97F4A7C15
 #: At most so many labelled rows are learned from; those with the smallest hash of doc_id.
-SAMPLE = 8000
+SAMPLE, SAMPLE_BYTES = 8000, 64 << 20
 BITS = 20
 
 
@@ -76,9 +76,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(sample)
     )
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))).alias("one"), F.first("place").alias("place"), F.first("toxic").alias("toxic"))
+    upto = F.sum(F.coalesce("one.size", F.lit(0))).over(Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # of sample rows without texts
+    few = one.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_BYTES).select(F.col("doc_id").alias("id"), F.col("one.hash").alias("hash"))
     rows = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(known), "doc_id").select("place", "toxic", "text")
+        texts.join(F.broadcast(few), (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("hash"))).dropDuplicates(["doc_id"]).select("place", "toxic", "text")
         .mapInArrow(lambda b: _sample_features(b, bits), "place bigint, toxic int, features array<int>").toArrow()
     )
     model = Ftrl(bits)
@@ -119,8 +122,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: tuple[np.ndarray, np.ndarra
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5) of every row of docs, by its whole text.
 
-    Learns only from labelled documents that are not held out, `sample` rows at most (smallest hash of doc_id, so
-    the same rows at any partitioning). A document with labels that differ counts as toxic if one of them says so.
+    Learns only from labelled documents that are not held out, `sample` of them and SAMPLE_BYTES of text at most
+    (smallest hash of doc_id first, so the same ones at any partitioning; of rows with one doc_id, the text of smallest hash). A document with labels that differ counts as toxic if one of them says so.
     Null, empty and wordless texts get the score of the bias. Without any usable label every score is 0. A null
     doc_id is not held out. Repeated rows are scored one by one; other columns of either table are not read.
     """
