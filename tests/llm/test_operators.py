@@ -589,3 +589,20 @@ def test_language_id_whole_text_is_one_chain(strong):
             alone = np.stack([model.emission(w) for w in ws])[None].astype(float)
             want, _ = langid.forward_backward(alone, np.array([len(ws)]), model.step)
             assert np.allclose(got[text == i], want[0], atol=1e-8)
+
+
+def test_line_dedup_spread_edits(spark):
+    """Letters changed anywhere in a line (not in one word): what is found of 4 % is far from all, and no two pairs are one group."""
+    draw = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for i in range(160):
+        line = list(" ".join("".join(draw.choice(letters, draw.integers(4, 10))) for _ in range((6, 12, 25, 50)[i % 4])))
+        rows.append((2 * i, "".join(line)))
+        spots = [k for k, c in enumerate(line) if c != " "]
+        for k in draw.choice(spots, max(1, len(line) // 25), replace=False):
+            line[k] = draw.choice(letters)
+        rows.append((2 * i + 1, "".join(line)))
+    got = {r.doc_id: r.group_doc for r in line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(g in (i, i - i % 2) for i, g in got.items())
+    assert sum(got[2 * i + 1] == 2 * i for i in range(160)) >= 0.6 * 160

@@ -223,3 +223,15 @@ def test_sums_over_53_bits():
     big = np.array([1 << 60, 1, 1 << 60], np.int64)
     assert lexical.added(np.array([0, 0, 1]), big, 2).tolist() == [(1 << 60) + 1, 1 << 60]
     assert lexical.lengths(np.array([1 << 40]), 1 << 30, 1 << 45).tolist() == [75 + 25 * (1 << 25)]
+
+
+def test_very_long_text(spark):
+    """A text over all slices (5 MB) beside short ones: each operator as in plain Python."""
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} Ä{i % 7}" for i in range(600_000))
+    docs = [(1, long), (2, "waa ä1 waa"), (3, "wbb only here"), (4, None), (5, long[: len(long) // 5])]
+    frame = spark.createDataFrame([(i, t, "l", f"s{i % 2}") for i, t in docs], "doc_id long, text string, lang string, source string")
+    laws(sharding.assign(frame).collect(), docs)
+    assert sorted(map(tuple, divergence.audit(frame, 2).collect())) == plain_audit([(t, "l", f"s{i % 2}") for i, t in docs], 2)
+    items = [(1, "waa wbb"), (2, "only ä6 here waa")]
+    got = lexical.rank_documents(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_ranking(docs, items))
