@@ -146,6 +146,18 @@ def last_pdf(files: DataFrame, existing: DataFrame) -> DataFrame:
     return first_per_group(real, ["doc_id"], [F.col("order").desc(), F.col("id")])
 
 
+def dedup_metadata(metadata: DataFrame) -> DataFrame:
+    """What the search for twins of partners and employees needs of the metadata, without repeated rows."""
+    return metadata.select("doc_id", "sender", "sender_id", "signer", "signer_id").dropDuplicates()
+
+
+def pdf_paths(root: str, metadata: DataFrame, files: DataFrame, existing: DataFrame, with_electronic: bool = False) -> DataFrame:
+    """(doc_id, path) of the PDF to read of each letter: the existing one of highest order, under root/doc_id; letters without one go. files: doc_id, id, order, extension; existing: id."""
+    wanted = letters(metadata, with_electronic).select("doc_id").distinct()
+    best = last_pdf(files.join(wanted, "doc_id", "left_semi"), existing)
+    return best.select("doc_id", F.concat(F.lit(root.rstrip("/") + "/"), F.col("doc_id"), F.lit("/"), F.col("id"), F.col("extension")).alias("path"))
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, form: str = "parquet") -> None:
     writer = df.write.mode("overwrite").format(form)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)

@@ -127,3 +127,13 @@ def test_datasets(spark, tmp_path):
 def test_mapping_of_several_lines(spark, tmp_path):
     (tmp_path / "m.json").write_text('{\n  "a": "x",\n  "b": null,\n  "c": "y"\n}\n')
     assert sorted(map(tuple, readers.read_mapping(spark, str(tmp_path / "m.json")).collect())) == [("a", "x"), ("c", "y")]
+
+
+def test_paths(spark):
+    meta = spark.createDataFrame([("a", "Письмо", "Почта"), ("b", "Письмо", "МЭДО"), ("c", "Приказ", None), ("d", "Письмо", None), ("a", "Письмо", "Почта")], "doc_id string, kind string, delivery_type string")
+    files = spark.createDataFrame([("a", "1", 1, ".pdf"), ("a", "2", 2, ".PDF"), ("a", "3", 3, ".doc"), ("b", "4", 1, ".pdf"), ("c", "5", 1, ".pdf"), ("d", "6", 1, ".pdf")], "doc_id string, id string, `order` int, extension string")
+    there = spark.createDataFrame([(i,) for i in "12345"], "id string")
+    paths = lambda e: sorted(map(tuple, readers.pdf_paths("/root/", meta, files, there, e).collect()))
+    assert paths(False) == [("a", "/root/a/2.PDF")] and paths(True) == [("a", "/root/a/2.PDF"), ("b", "/root/b/4.pdf")]
+    full = meta.withColumns({c: F.lit("x") for c in ("sender", "sender_id", "signer", "signer_id")})
+    assert readers.dedup_metadata(full).count() == 4
