@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.operators.groups import positions
+from quillspark.operators.groups import positions, segments_of
 
 
 def filled(df: DataFrame, values: dict[str, str]) -> DataFrame:
@@ -74,13 +74,14 @@ def distinct_lists(df: DataFrame, column: str, longer_than: int | None = None) -
     return lists if longer_than is None else lists.where(F.col("size") > longer_than)
 
 
-def quantiles(df: DataFrame, column: str, shares: list[float], segments: int = 64) -> DataFrame:
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     """(share, value): exact quantiles with linear interpolation, as of sorted rows; nulls do not count.
 
     Equal values are counted before anything is ordered, and the counts are summed up within segments between
     approximate quantiles; so neither a frequent value nor a large table ends in one task.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count("*").alias("n"))
+    segments = segments_of(df.count())
     cuts = counts.agg(F.percentile_approx("value", F.array(*[F.lit(i / segments) for i in range(1, segments)])).alias("cuts"))
     placed = counts.join(F.broadcast(cuts)).withColumn("segment", F.size(F.filter("cuts", lambda c: c < F.col("value")))).drop("cuts")
     sizes = placed.groupBy("segment").agg(F.sum("n").alias("rows"))  # a row a segment

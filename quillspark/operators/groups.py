@@ -64,12 +64,21 @@ def until_limit(df: DataFrame, keys: list[str], order: list[Column], wanted: Col
     return df.withColumn("so_far", F.sum(wanted.cast("int")).over(w)).where(wanted & (F.col("so_far") <= limit))
 
 
-def positions(df: DataFrame, key: str, segments: int = 64) -> DataFrame:
+#: Rows of a segment that is ordered by itself, on average, and the least and greatest numbers of segments.
+SEGMENT_ROWS, FEWEST, MOST = 2_000_000, 64, 4096
+
+
+def segments_of(rows: int) -> int:
+    return min(max(-(-rows // SEGMENT_ROWS), FEWEST), MOST)
+
+
+def positions(df: DataFrame, key: str) -> DataFrame:
     """A column `position`: the row's place, from 0, in the order of a unique numeric key.
 
     Rows are ranked within segments between approximate quantiles, each a task of its own, and moved by the exact
     number of rows in the segments before; so no task sees all rows, and the quantiles need not be exact.
     """
+    segments = segments_of(df.count())
     cuts = df.agg(F.percentile_approx(key, F.array(*[F.lit(i / segments) for i in range(1, segments)])).alias("cuts"))
     placed = df.join(F.broadcast(cuts)).withColumn("segment", F.size(F.filter("cuts", lambda c: c < F.col(key)))).drop("cuts")
     sizes = placed.groupBy("segment").agg(F.count("*").alias("n"))  # a row a segment
