@@ -30,7 +30,7 @@ DROPOUT, SEED = 0.1, 20_240_501
 #: Draws of a word that are held against the function segment, one by one; texts draw from 64 bits.
 VARIANTS = 4
 #: A worker forgets the words it has met when it knows so many, or so many ids or choices of them.
-KNOWN_WORDS, KNOWN_IDS = 500_000, 4_000_000
+KNOWN_WORDS, KNOWN_IDS = 250_000, 2_000_000
 #: Words of more bytes have no tree when there is dropout: hardly two occurrences would go the same way.
 TREE_BYTES = 64
 #: Words of up to so many characters are segmented together with those that fit the same width.
