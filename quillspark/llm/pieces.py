@@ -29,8 +29,9 @@ SPACE = "▁"
 DROPOUT, SEED = 0.1, 20_240_501
 #: Draws of a word that are held against the function segment, one by one; texts draw from 64 bits.
 VARIANTS = 4
-#: A worker forgets the words it has met when it knows so many, or so many ids or choices of them.
-KNOWN_WORDS, KNOWN_IDS = 250_000, 2_000_000
+#: A worker forgets the words it has met when it knows so many, or so many ids or choices of them: about 0.5 GB a worker,
+#: and 0.1 GB less with SMALL, for which words are segmented more often.
+KNOWN, SMALL = (500_000, 4_000_000), (250_000, 2_000_000)
 #: Words of more bytes have no tree when there is dropout: hardly two occurrences would go the same way.
 TREE_BYTES = 64
 #: Words of up to so many characters are segmented together with those that fit the same width.
@@ -211,8 +212,8 @@ class Encoder:
     nobody went there) or an end, with the place and number of its ids in the pool.
     """
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
-        self.vocabulary, self.dropout, self.seed, self.tables = vocabulary, dropout, seed, Tables(vocabulary)
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, room: tuple[int, int] = KNOWN):
+        self.vocabulary, self.dropout, self.seed, self.tables, self.most = vocabulary, dropout, seed, Tables(vocabulary), room
         self.bar = int(dropout * (1 << 64))
         self.forget()
 
@@ -275,7 +276,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that all begin with the space that the model adds, and where each text's ids begin and end."""
-        if len(self.known) > KNOWN_WORDS or max(self.ids.size, self.code.size) > KNOWN_IDS:
+        if len(self.known) > self.most[0] or max(self.ids.size, self.code.size) > self.most[1]:
             self.forget()
         first = data == 32
         first[1:] &= data[:-1] != 32
@@ -337,8 +338,8 @@ def decode_ids(encoder: Encoder, ids: np.ndarray) -> str:
     return encoder.decode(ids)[1:].tobytes().decode()
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout: float, seed: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(vocabulary, dropout, seed)
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout: float, seed: int, keep_ids: bool, room: tuple[int, int] = KNOWN) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(vocabulary, dropout, seed, room)
     for batch in sliced(batches):
         doc_ids = batch.column("doc_id").to_pylist()
         offsets, raw = text_bytes(batch.column("text"))
@@ -373,16 +374,16 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, dropout:
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, keep_ids: bool = True, room: tuple[int, int] = KNOWN) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of 32-bit little-endian ids), decoded_sha256, lossless and, if kept, ids.
 
     The text of every row of docs is encoded whole and its ids are decoded again; lossless says that the bytes
     came back. Each occurrence of a word draws by (seed, doc_id, place), so a run repeats exactly at any partitioning, and with
     dropout 0 ids are those of the model's own encoder. A null or empty text has no ids (and is lossless); a null
     doc_id counts as 0 for the draw and stays null; repeated rows are encoded one by one; other columns are not
-    read. The model file is read on the driver only.
+    read. The model file is read on the driver only. room bounds what a worker keeps of the words it has met.
     """
     vocabulary = Vocabulary(model)
     kinds = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, lossless boolean"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: released(_encode(b, vocabulary, dropout, seed, keep_ids)), kinds + (", ids array<int>" if keep_ids else ""))
+    return rows.mapInArrow(lambda b: released(_encode(b, vocabulary, dropout, seed, keep_ids, room)), kinds + (", ids array<int>" if keep_ids else ""))
