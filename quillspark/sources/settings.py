@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import evaluate, labelling
 
+#: Names of the two estimators.
 JARO, SORTED = "jaro_winkler", "lev_distance"
 
 
