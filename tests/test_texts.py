@@ -86,3 +86,12 @@ def test_summaries(spark):
     got = {r.id: r.summary for r in summary.summaries(df, "id", "t", 2).collect()}
     assert got[1] == "Rare zebra! Unusual quagga and okapi." and got[3] is got[4] is None and got[5] == "!!! ..." and got[6] == ("x " * 3000).strip() and len(got) == 6
     assert summary.summaries(df.limit(0), "id", "t").count() == 0
+
+
+def test_numeric_dates_are_as_in_sql(spark, tmp_path):
+    """Any white space before a date, months' names and digits of other scripts are not in what the SQL finds."""
+    from quillspark.plans import queries
+
+    texts = ["a\n\t12.03.2024", "5 мая 2020", "٣.04.2024", "  1.02.24 g", None, "x"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.found for r in queries.date_extract(spark, str(tmp_path)).collect()} == {0: "12.03.2024", 1: None, 2: None, 3: "1.02.24", 4: None, 5: None}
