@@ -107,3 +107,18 @@ def test_average_precision(spark):
             ap += (tp - before) / positives * max(t / n for t, n in curve[i:])
             before = tp
         assert abs(got[cls].ap - ap) < 1e-9 and got[cls].tp == (curve[-1][0] if curve else 0)
+
+
+def test_rectangles_meet_once_unless_crowded(spark, monkeypatch):
+    """A page with few pairs takes no cells; the same pairs are found on a crowded one."""
+    a = spark.createDataFrame([(d, 1, i, "text", 0.9, 0.0, 0.0, 300.0 + i, 300.0) for d in (1, 2) for i in range(3 * d)], BOX)
+    b = spark.createDataFrame([(d, 1, i, "text", 0.9, 10.0 * i, 5.0, 10.0 * i + 40, 50.0) for d in (1, 2) for i in range(4)], BOX)
+    found = []
+    for most, celled in ((10_000, 0), (15, 1), (0, 1)):  # none, one, and both of the pages are crowded
+        calls = []
+        monkeypatch.setattr(boxes, "CROWDED", most)
+        monkeypatch.setattr(boxes, "_in_cells", lambda *x, real=boxes._in_cells, calls=calls: calls.append(1) or real(*x))
+        found.append(sorted(map(tuple, boxes.overlapping(a, b).select("a.doc_id", "a.box_id", F.col("b.box_id").alias("other"), "area").collect())))
+        assert len(calls) == 2 * celled
+        monkeypatch.undo()
+    assert len(found[0]) == 9 * 4 and found[0] == found[1] == found[2]
