@@ -9,7 +9,7 @@ from quillspark.functions import dates as D
 from quillspark.functions import text as T
 from quillspark.operators import entities, evaluate, frames, layout, reference_data, resolve, search
 from quillspark.operators.groups import first_per_group
-from quillspark.plans.queries import COS, PAIRS, _hits, query
+from quillspark.plans.queries import COS, PAIRS, _asked, query
 from quillspark.sources.readers import table
 
 # --- whole frames -------------------------------------------------------------------------------------------------
@@ -142,14 +142,14 @@ def best_org_of_top_persons(spark, sf):
 @query(f"""SELECT query_id, id, cos FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {COS} AS cos FROM embeddings q JOIN embeddings e ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id AND q.label = e.label)""")
 def cluster_search(spark, sf):
     """Search restricted to the query's cluster, here its label."""
-    return search.within_cluster(_hits(spark, sf), table(spark, sf, "embeddings"), "vec_id", "label").select("query_id", "id", "cos")
+    return search.within_cluster(*_asked(spark, sf), "label")
 
 
 @query(f"""SELECT query_id, id, cos_place::INT AS cos_place, place::INT AS place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY id % 7 DESC, cos_place) AS place
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cos DESC, id) AS cos_place FROM ({PAIRS})) WHERE cos_place <= 30) WHERE place <= 10""")
 def cross_top10(spark, sf):
     """The ten best by cross score of the 30 nearest; a stand-in replaces the cross-encoder."""
-    return search.top_cross(_hits(spark, sf), F.col("id") % 7).select("query_id", "id", "cos_place", "place")
+    return search.top_cross(search.nearest(*_asked(spark, sf), 30).drop("place"), F.col("id") % 7).select("query_id", "id", "cos_place", "place")
 
 
 # --- pages and boxes ----------------------------------------------------------------------------------------------

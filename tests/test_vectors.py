@@ -73,3 +73,33 @@ def test_empty(spark, clustered):
     none = spark.createDataFrame([], SCHEMA)
     assert V.search_exact(index, none, "id", "v", 3).count() == 0
     assert V.search_exact(index, spark.createDataFrame([(1, None)], SCHEMA), "id", "v", 3).count() == 0
+
+
+def test_parts_of_a_search_lose_nothing(spark, monkeypatch):
+    """Small parts and blocks give the hits of one product: by bound, by label, within a label and until the first weak one."""
+    import numpy as np
+
+    from quillspark.operators import search
+
+    random = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in random.integers(-2, 3, 4)], i % 3 if i % 7 else None) for i in range(60)] + [(60, None, 1), (61, [0.0] * 4, 1)]
+    df = spark.createDataFrame(rows, "id long, v array<float>, label int")
+    asked = df.where("id % 5 = 0")
+    weak = lambda ids, cos: cos - (ids % 4) / 4 < 0.2
+
+    def found():
+        args = (df, asked, "id", "v")
+        first = search.top_k(search.top_per_label(*args, "label", 2).join(df.select("id", "label"), "id"), 2, ["query_id", "label"])
+        until = {}
+        for r in sorted(search.until_weak(*args, weak).collect(), key=lambda r: (r.query_id, -r.cos, r.id)):
+            if until.setdefault(r.query_id, [[], True])[1]:
+                until[r.query_id][1] = not weak(r.id, r.cos)
+                until[r.query_id][0].append(r.id)
+        return [sorted(map(tuple, d.select("query_id", "id", "cos").collect())) for d in (search.scored(*args, 0.3), first, search.within_cluster(*args, "label"))] + [until]
+
+    whole = found()
+    monkeypatch.setattr(search, "PART", 7)
+    monkeypatch.setattr(search, "BLOCK", 3)
+    assert found() == whole and whole[0] and len(whole[2]) > 100
+    label = {r[0]: r[2] for r in rows}
+    assert all(label[q] == label[i] is not None for q, i, _ in whole[2])
