@@ -165,20 +165,25 @@ def resolve_sender(queries: DataFrame, partners: DataFrame, least: float = 90.0)
 def resolve_signer(queries: DataFrame, employees: DataFrame) -> DataFrame:
     """(query_id, ids) by tiers: surname within the sender's employees, then first initial, then middle initial.
 
-    queries has query_id, partner_ids, last, first, middle. A tier that finds none falls back to the one before it;
+    queries has query_id (unique), partner_ids, last, first, middle. A tier that finds none falls back to the one before it;
     one hit ends the search; a missing initial ends it too.
     """
-    q = queries.select("query_id", "last", "first", "middle", F.explode("partner_ids").alias("partner_id"))
+    asks = ["partner_ids", "last", "first", "middle"]
+    known = queries.select("query_id", F.xxhash64(*asks).alias("hash"), *asks)
+    asked = kept(known.select("hash", *asks).distinct())  # equal questions are answered once
     e = employees.select("partner_id", "employee_id", F.lower("last_name").alias("l"), "first_name", "middle_name")
-    hits = q.withColumn("l", F.lower("last")).join(e, ["partner_id", "l"])
+    hits = asked.withColumn("partner_id", F.explode("partner_ids")).withColumn("l", F.lower("last")).join(e, ["partner_id", "l"])
     initial = lambda c: F.upper(F.substring(c, 1, 1))
     hits = hits.withColumn("f", F.coalesce(initial("first") == initial("first_name"), F.lit(False)))
     hits = hits.withColumn("m", F.coalesce(F.col("f") & (initial("middle") == initial("middle_name")), F.lit(False)))
-    w = Window.partitionBy("query_id")
-    hits = hits.withColumns({"n_f": F.sum(F.col("f").cast("int")).over(w), "n_m": F.sum(F.col("m").cast("int")).over(w)})
-    keep = F.when(F.col("n_f") == 0, F.lit(True)).when((F.col("n_f") == 1) | (F.col("n_m") == 0), F.col("f")).otherwise(F.col("m"))
-    ids = hits.where(keep).groupBy("query_id").agg(F.array_sort(F.collect_set("employee_id")).alias("ids"))
-    return queries.select("query_id").join(ids, "query_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
+    of = lambda c: F.collect_set(F.when(F.col(c), F.col("employee_id"))).alias(f"of_{c}")
+    tiers = hits.groupBy("hash", *asks).agg(F.collect_set("employee_id").alias("of_l"), of("f"), of("m"), F.sum(F.col("f").cast("int")).alias("n_f"), F.sum(F.col("m").cast("int")).alias("n_m"))
+    ids = F.when(F.col("n_f") == 0, F.col("of_l")).when((F.col("n_f") == 1) | (F.col("n_m") == 0), F.col("of_f")).otherwise(F.col("of_m"))
+    answers = kept(tiers.select("hash", *asks, F.array_sort(ids).alias("ids"))).alias("t")
+    same = F.col("k.hash") == F.col("t.hash")
+    for c in asks:
+        same = same & F.col(f"k.{c}").eqNullSafe(F.col(f"t.{c}"))
+    return known.alias("k").join(answers, same, "left").select("query_id", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
 
 
 def best_reference_row(pairs: DataFrame, query: str, how: str) -> DataFrame:

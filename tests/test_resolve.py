@@ -71,3 +71,18 @@ def test_jaro_rows(spark):
 def test_glued_names(spark):
     f = lambda t, first=True: spark.createDataFrame([(t,)], "t string").select(T.format_fullname(F.col("t"), first)).first()[0]
     assert f("ИвановИ. И.") == "И.И. Иванов" and f("подписалИ.И. Иванов", False) == "Иванов И.И." and f("однаДругая") == "одна Другая" and f("А.Б. Семёнова", False) == "Семёнова А.Б."
+
+
+def test_equal_questions_about_signers_are_answered_once(spark, monkeypatch):
+    """Null names and lists are questions, too; every query has its answer."""
+    from quillspark.operators import resolve
+
+    seen = []
+    monkeypatch.setattr(resolve, "kept", lambda df, real=resolve.kept: seen.append(real(df)) or seen[-1])
+    staff = spark.createDataFrame([("p", f"e{i}", "Орлов", "АБ"[i % 2], "ВГ"[i // 2 % 2]) for i in range(6)] + [("q", "f", "орлов", None, None)], "partner_id string, employee_id string, last_name string, first_name string, middle_name string")
+    kinds = [(["p"], "Орлов", "А", "В"), (["p"], "орлов", "Б", None), (["p", "q"], "Орлов", "Ю", "В"), (["q"], "Иной", "А", "В"), (None, "Орлов", "А", "В"), (["p"], None, None, None)]
+    asked = spark.createDataFrame([(i, *kinds[i % 6]) for i in range(60)], "query_id long, partner_ids array<string>, last string, first string, middle string")
+    got = {r.query_id: r.ids for r in resolve.resolve_signer(asked, staff).collect()}
+    want = [["e0", "e4"], ["e1", "e3", "e5"], ["e0", "e1", "e2", "e3", "e4", "e5", "f"], [], [], []]
+    assert got == {i: want[i % 6] for i in range(60)}
+    assert seen[0].count() == 6
