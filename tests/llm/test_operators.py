@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from quillspark.llm import components, decontaminate, langid, licenses, line_dedup, phrases, pieces, pii, registry, simhash, telephony, toxicity
 from quillspark.llm.common import table
@@ -606,3 +607,40 @@ def test_line_dedup_spread_edits(spark):
     got = {r.doc_id: r.group_doc for r in line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(g in (i, i - i % 2) for i, g in got.items())
     assert sum(got[2 * i + 1] == 2 * i for i in range(160)) >= 0.6 * 160
+
+
+def test_bounds_of_edits_hold(spark):
+    import random
+
+    from quillspark.llm import line_dedup
+
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(3, 8)))
+    rows = []
+    for n in (3, 12, 40, 120):
+        for changed in (0.0, 0.05, 0.2, 0.4, 1.0):
+            a = [word() for _ in range(n)]
+            rows.append((" ".join(a), " ".join(word() if draw.random() < changed else w for w in a)))
+    pairs = spark.createDataFrame(rows, "a string, b string").withColumn("d", F.levenshtein("a", "b"))
+    for wide in (True, False):
+        told = pairs.withColumn("m", line_dedup.measured(F.col("a"), F.col("b"), F.lit(wide)))
+        assert told.where("m.low > d or m.high < d").isEmpty()
+    far = pairs.where("d > 0.4 * greatest(length(a), length(b)) + 1 and abs(length(a) - length(b)) <= floor(0.2 * greatest(length(a), length(b)))").withColumn("m", line_dedup.measured(F.col("a"), F.col("b"), F.lit(True)))
+    assert far.count() and far.where("m.low <= 2 * floor(0.2 * greatest(length(a), length(b)))").isEmpty()
+
+
+def test_line_far_from_a_group_does_not_meet_each_of_its_copies(spark, monkeypatch):
+    from quillspark.llm import line_dedup
+
+    rare = ["quellenwerk", "sonnenuhren", "werkstoffe", "nachtfalter"]
+    order = lambda words: sorted(words, key=lambda w: spark.range(1).select(F.xxhash64(F.lit(w)).bitwiseAND(F.lit(line_dedup.LAST - 1))).first()[0])
+    pool = order([f"wort{i:03d}x" for i in range(300)] + rare)
+    low, rest = pool[:4], pool[4:]  # all lines have the words of the smallest hashes, so they meet in a bucket
+    base = low + rest[:60]
+    group = [" ".join(base[: 4 + i] + [rest[100 + i]] + base[5 + i :]) for i in range(40)]
+    other = " ".join(rest[150:210] + low)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*group, " ".join(base), other])], "doc_id bigint, text string")
+    met, plain = [], line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *more: met.append(pairs.count()) or plain(pairs, *more))
+    kept = line_dedup.judge_lines(docs).where("kept").count()
+    assert kept == 2 and sum(met) <= 45  # each with the leader; before, the other line met all copies, too
