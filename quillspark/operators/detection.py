@@ -57,9 +57,10 @@ def curve(predictions: DataFrame, truths: DataFrame) -> DataFrame:
     placed = placed.withColumns({"tp": F.col("hits_before") + F.sum("hits").over(upto), "n": F.col("rows_before") + F.sum("rows").over(upto)})
     placed = placed.withColumns({"precision": F.col("tp") / F.col("n"), "recall": F.coalesce(F.try_divide("tp", "positives"), F.lit(0.0))})
     tops = placed.groupBy("cls", "bin").agg(F.max("precision").alias("top"))
-    later = F.max("top").over(Window.partitionBy("cls").orderBy("bin").rowsBetween(1, Window.unboundedFollowing))
+    # in reverse order, as Spark works out a frame to the end anew for each row
+    later = F.max("top").over(Window.partitionBy("cls").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1))
     tops = tops.select("cls", "bin", later.alias("later"))
-    here = F.max("precision").over(inside.rowsBetween(0, Window.unboundedFollowing))
+    here = F.max("precision").over(Window.partitionBy("cls", "bin").orderBy("score").rowsBetween(Window.unboundedPreceding, 0))
     out = placed.withColumn("here", here).join(tops, ["cls", "bin"]).withColumn("envelope", F.greatest("here", "later"))
     return out.select("cls", "score", "hits", "tp", "n", "positives", "precision", "recall", "envelope")
 

@@ -122,3 +122,11 @@ def test_rectangles_meet_once_unless_crowded(spark, monkeypatch):
         assert len(calls) == 2 * celled
         monkeypatch.undo()
     assert len(found[0]) == 9 * 4 and found[0] == found[1] == found[2]
+
+
+def test_curve_has_no_frame_to_the_end(spark):
+    """Spark works such a frame out anew for each row, which is quadratic."""
+    rows = spark.createDataFrame([("a", 0.9, True), ("a", 0.8995, False), ("a", 0.8991, True), ("a", 0.1, True)], "cls string, score double, hit boolean")
+    out = detection.curve(rows, spark.createDataFrame([("a", 4)], "cls string, positives long"))
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.score: round(r.envelope, 6) for r in out.collect()} == {0.9: 1.0, 0.8995: 0.75, 0.8991: 0.75, 0.1: 0.75}
