@@ -88,6 +88,12 @@ def test_summaries(spark):
     assert summary.summaries(df.limit(0), "id", "t").count() == 0
 
 
+def test_no_sentence_goes_with_its_words(spark):
+    df = spark.createDataFrame([(1, "One two. Three four.")], "id long, t string")
+    plan = summary.summaries(df, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(sentence" not in plan and summary.summaries(df, "id", "t", 1).first().summary == "One two."
+
+
 def test_numeric_dates_are_as_in_sql(spark, tmp_path):
     """Any white space before a date, months' names and digits of other scripts are not in what the SQL finds."""
     from quillspark.plans import queries
