@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +20,15 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def grams(words: Column, n: int) -> Column:
-    """The runs of n words, each joined by spaces."""
-    if n == 1:
-        return words
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
+def common_grams(n: int) -> Callable[[Column, Column], Column]:
+    """A column function of two arrays of words: how many runs of n words they share, each as often as both have it."""
+
+    @F.pandas_udf(LongType())
+    def shared(a: pd.Series, b: pd.Series) -> pd.Series:
+        counts = lambda words: Counter(zip(*[words[i:] for i in range(n)], strict=False))
+        return pd.Series([(counts(x) & counts(y)).total() for x, y in zip(a, b, strict=True)], dtype="int64")
+
+    return shared
 
 
 def _measured(hits: Column, predicted: Column, truth: Column) -> list[Column]:
@@ -34,18 +40,13 @@ def _measured(hits: Column, predicted: Column, truth: Column) -> list[Column]:
 def rouge_n(df: DataFrame, keys: list[str], predicted: str, truth: str, sizes: tuple[int, ...] = SIZES) -> DataFrame:
     """(keys, n, precision, recall, f1) of every row and size. keys are unique; a gram counts as often as both sides have it.
 
-    Grams of both sides are counted by row and gram, so that a long text is many keys; rows without a gram have zeros.
+    Both sides of a row are in it, so grams are counted there and never shuffled; rows without a gram have zeros.
     """
-    sides = []
-    for side, column in ((0, predicted), (1, truth)):
-        each = F.explode(F.array(*[F.transform(grams(F.col("w"), n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))) for n in sizes])).alias("some")
-        found = df.select(*keys, tokens(F.col(column)).alias("w")).select(*keys, each).select(*keys, F.explode("some").alias("g"))
-        sides.append(found.select(*keys, "g.n", "g.gram", F.lit(1 - side).alias("p"), F.lit(side).alias("t")))
-    counts = sides[0].unionByName(sides[1]).groupBy(*keys, "n", "gram").agg(F.sum("p").alias("p"), F.sum("t").alias("t"))
-    sums = counts.groupBy(*keys, "n").agg(F.sum(F.least("p", "t")).alias("hits"), F.sum("p").alias("p"), F.sum("t").alias("t"))
-    every = df.select(*keys, F.explode(F.array(*map(F.lit, sizes))).alias("n"))
-    met = every.join(sums, [*keys, "n"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("hits", "p", "t")})
-    return met.select(*keys, "n", *_measured(F.col("hits"), F.col("p"), F.col("t")))
+    words = df.select(*keys, tokens(F.col(predicted)).alias("p"), tokens(F.col(truth)).alias("t"))
+    counted = words.select(*keys, *[common_grams(n)(F.col("p"), F.col("t")).alias(f"hits_{n}") for n in sizes], F.size("p").alias("p"), F.size("t").alias("t"))
+    places = lambda c, n: F.greatest(F.col(c) - (n - 1), F.lit(0)).alias(c)
+    each = counted.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"hits_{n}").alias("hits"), places("p", n), places("t", n)) for n in sizes])).alias("g"))
+    return each.select(*keys, "g.n", *_measured(F.col("g.hits"), F.col("g.p"), F.col("g.t")))
 
 
 @F.pandas_udf(LongType())

@@ -94,6 +94,16 @@ def test_no_sentence_goes_with_its_words(spark):
     assert "first(sentence" not in plan and summary.summaries(df, "id", "t", 1).first().summary == "One two."
 
 
+def test_grams_are_counted_in_their_row(spark):
+    rows = [(1, "a b a b", "a b b a b c"), (2, "", "x"), (3, None, None), (4, "x", "x"), (5, "A-b a", "a b")]
+    df = spark.createDataFrame(rows, "id long, p string, t string")
+    out = rouge.rouge_n(df, ["id"], "p", "t")
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.id, r.n): (r.precision, r.recall) for r in out.collect()}
+    assert got[1, 1] == (1.0, 4 / 6) and got[1, 2] == (1.0, 3 / 5) and got[2, 1] == got[3, 2] == got[4, 2] == (0.0, 0.0) and got[4, 1] == (1.0, 1.0)
+    assert got[5, 1] == (2 / 3, 1.0) and got[5, 2] == (0.5, 1.0) and len(got) == 10
+
+
 def test_numeric_dates_are_as_in_sql(spark, tmp_path):
     """Any white space before a date, months' names and digits of other scripts are not in what the SQL finds."""
     from quillspark.plans import queries
