@@ -22,13 +22,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def summaries(df: DataFrame, key: str, text: str, n: int = SENTENCES) -> DataFrame:
+def summaries(df: DataFrame, key: str, text: str, n: int = SENTENCES, asked: Column | None = None) -> DataFrame:
     """(key, summary): of each text its n best sentences in their order, joined by spaces; null without a sentence. key is unique.
 
     A sentence is worth the mean of its distinct words' weights, ln of the number of texts over that of texts with the
-    word, to six digits; of equal ones the first is better. Words are counted over all texts; a long text is many rows.
+    word, to six digits; of equal ones the first is better. Words are counted over all texts; a long text is many rows. With
+    `asked` only the rows for which it holds have a summary.
     """
-    cut = df.select(key, F.posexplode(sentences(F.col(text))).alias("place", "sentence"))
+    of = df if asked is None else df.where(asked)
+    cut = of.select(key, F.posexplode(sentences(F.col(text))).alias("place", "sentence"))
     told = cut.select(key, "place", F.explode_outer(F.array_distinct(words(F.col("sentence")))).alias("word"))
     own = F.array_distinct(F.flatten(F.transform(sentences(F.col(text)), words)))  # of each text once, so a task sums up before the shuffle
     held = df.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("texts"))
@@ -38,14 +40,14 @@ def summaries(df: DataFrame, key: str, text: str, n: int = SENTENCES) -> DataFra
     worth = told.join(known, "word", "left").groupBy(key, "place").agg(F.round(F.avg(F.coalesce("weight", F.lit(0.0))), 6).alias("worth"))
     best = worth.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.col("worth").desc(), "place"))).where(F.col("rank") <= n)
     places = best.groupBy(key).agg(F.array_sort(F.collect_list("place")).alias("places"))  # n at most
-    chosen = df.select(key, text).join(places, key)  # texts are cut again, so that no sentence goes with each of its words
+    chosen = of.select(key, text).join(places, key)  # texts are cut again, so that no sentence goes with each of its words
     made = chosen.select(key, F.array_join(F.get(F.transform(F.array(sentences(F.col(text))), lambda s: F.transform("places", lambda p: F.get(s, p))), F.lit(0)), " ").alias("summary"))
-    return df.select(key).join(made, key, "left")
+    return of.select(key).join(made, key, "left")
 
 
 def search_by_summary(df: DataFrame, key: str, text: str, asked: Column, k: int) -> DataFrame:
     """(query_id, id, cos, place): the k texts whose vectors are nearest to that of the summary of each row asked for, itself left out."""
     # both are counted and read, so they are kept
     vectors = kept(encoder.encoded(df, key, text).select(key, "vector"))
-    queries = kept(encoder.encoded(kept(summaries(df, key, text).where(asked)), key, "summary").select(key, "vector"))
+    queries = kept(encoder.encoded(kept(summaries(df, key, text, asked=asked)), key, "summary").select(key, "vector"))
     return search.nearest(vectors, queries, key, "vector", k)

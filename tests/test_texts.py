@@ -94,6 +94,13 @@ def test_no_sentence_goes_with_its_words(spark):
     assert "first(sentence" not in plan and summary.summaries(df, "id", "t", 1).first().summary == "One two."
 
 
+def test_summaries_of_the_rows_asked_for_weigh_words_by_all_texts(spark):
+    rows = [(i, f"One of {i % 3} words. Told {i}: rare word{i}! One of words.") for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    some, every = summary.summaries(df, "id", "t", 1, F.col("id") % 5 == 0), summary.summaries(df, "id", "t", 1).where("id % 5 = 0")
+    assert sorted(some.collect()) == sorted(every.collect()) and some.count() == 3
+
+
 def test_grams_are_counted_in_their_row(spark):
     rows = [(1, "a b a b", "a b b a b c"), (2, "", "x"), (3, None, None), (4, "x", "x"), (5, "A-b a", "a b")]
     df = spark.createDataFrame(rows, "id long, p string, t string")
