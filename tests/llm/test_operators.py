@@ -644,3 +644,22 @@ def test_line_far_from_a_group_does_not_meet_each_of_its_copies(spark, monkeypat
     monkeypatch.setattr(line_dedup, "verified", lambda pairs, *more: met.append(pairs.count()) or plain(pairs, *more))
     kept = line_dedup.judge_lines(docs).where("kept").count()
     assert kept == 2 and sum(met) <= 45  # each with the leader; before, the other line met all copies, too
+
+
+def test_line_dedup_meets_in_rounds(spark, monkeypatch):
+    """Strays that are alike do not all meet: lines that one of them has linked are connected already."""
+    from quillspark.llm import line_dedup
+
+    shared = "keyword lighthouse mountain waterfall"
+    few = lambda letters, n: [f"{a}{b}" for a in letters for b in "abcdefghij"][:n]
+    leader = " ".join([shared, *few("stuvwx", 60)])
+    rows = [(i, leader) for i in range(3)]
+    for i in range(100):
+        words = few("klmnopq", 60)
+        words[i % 60] = f"{'yz'[i // 60]}{i % 10}"
+        rows.append((10 + i, " ".join([shared, *words])))
+    met, plain = [], line_dedup.verified
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *more: met.append(pairs.count()) or plain(pairs, *more))
+    got = {r.doc_id: r.group_doc for r in line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i < 10 else 10 for i, _ in rows}
+    assert met[0] == 100 and sum(met[1:]) < 1500, met
