@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,16 @@ UNKNOWN = "не определён"
 MIXED_UPPER, MIXED_ANY = r"[\x{41}-\x{42F}]", r"[\x{61}-\x{44F}]"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def filled(text: Column) -> Column:
+    """Null for an empty text."""
+    return bound(text, lambda t: F.when(t != "", t))
+
+
 def count_of(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
@@ -65,12 +77,12 @@ def stripped(text: Column) -> Column:
 def subject(text: Column) -> Column:
     """The first sentence that begins with "О " or "Об ", if not over 200 characters; null otherwise."""
     found = F.regexp_extract(text, r"(?U)(\s|^)Об?\s[а-яА-Я]{3,100}.*", 0)
-    return F.when((found != "") & (F.length(found) <= 200), stripped(F.translate(found, "_", " ")))
+    return bound(found, lambda f: F.when((f != "") & (F.length(f) <= 200), stripped(F.translate(f, "_", " "))))
 
 
 def outgoing_number(text: Column) -> Column:
     """The first "№" with the token behind it, or a lone one; null if there is none."""
-    return F.nullif(F.regexp_extract(text, r"№\s*\S+|№", 0), F.lit(""))
+    return filled(F.regexp_extract(text, r"№\s*\S+|№", 0))
 
 
 def is_filled(number: Column) -> Column:
@@ -85,13 +97,13 @@ def trimmed_number(number: Column) -> Column:
 def clean_number(number: Column) -> Column:
     """Without №, _ and », trimmed of spaces and long dashes; null if nothing is left."""
     out = F.btrim(F.trim(F.regexp_replace(number, "[№_»]", "")), F.lit("—"))
-    return F.nullif(F.trim(out), F.lit(""))
+    return filled(F.trim(out))
 
 
 def clean_name(text: Column) -> Column:
     """Lower case; anything but letters, digits, _, points and white space is a space, at the ends nothing. Nothing left: UNKNOWN."""
     clean = stripped(F.regexp_replace(F.lower(text), r"(?U)[^\w\s\.]", " "))
-    return F.coalesce(F.nullif(clean, F.lit("")), F.lit(UNKNOWN))
+    return F.coalesce(filled(clean), F.lit(UNKNOWN))
 
 
 def clean_signer(text: Column) -> Column:
@@ -107,14 +119,19 @@ def filtered_words(text: Column) -> Column:
 def name_in(text: Column, found: Column | None = None) -> Column:
     """The first of the names `found` by a tagger, else the first surname with two initials in the text; null if there is none."""
     own = F.regexp_extract(text, r"[А-Я]\.[А-Я]\.\s{0,3}[А-Я][а-я]{2,30}|[А-Я][а-я]{2,30}\s{0,3}[А-Я]\.[А-Я]\.", 0)
-    return F.nullif(own, F.lit("")) if found is None else F.coalesce(F.get(found, F.lit(0)), F.nullif(own, F.lit("")))
+    return filled(own) if found is None else F.coalesce(F.get(found, F.lit(0)), filled(own))
 
 
 def comparable_names(a: Column, b: Column) -> tuple[Column, Column]:
     """Both as initials and surname if both have that form, else the longest word of each; texts a over 50 characters leave both as they are."""
-    x, y = format_fullname(a), format_fullname(b)
-    both = x.rlike(INITIALS_FIRST) & y.rlike(INITIALS_FIRST)
-    return tuple(F.when(F.length(a) > 50, raw).when(both, form).otherwise(longest_token(form)) for raw, form in ((a, x), (b, y)))
+    forms = F.struct(format_fullname(a).alias("a"), format_fullname(b).alias("b"))
+
+    def compared(f: Column) -> Column:
+        both = f["a"].rlike(INITIALS_FIRST) & f["b"].rlike(INITIALS_FIRST)
+        return F.when(both, f).otherwise(F.struct(longest_token(f["a"]).alias("a"), longest_token(f["b"]).alias("b")))
+
+    out = F.when(F.length(a) > 50, F.struct(a.alias("a"), b.alias("b"))).otherwise(bound(forms, compared))
+    return out["a"], out["b"]
 
 
 def letters_only(text: Column) -> Column:
@@ -134,17 +151,25 @@ def format_fio(text: Column) -> Column:
     signs go. Texts of more than three tokens only lose these.
     """
     bare = F.regexp_replace(text, r"(?U)\d\.|\d", " ")
-    clean = stripped(F.regexp_replace(bare, r"(?U)[^\w\s\.]", ""))
-    row = F.regexp_replace(F.when(clean != "", clean).otherwise(bare), r"(?U)\s+", " ")
-    tokens = F.filter(F.split(row, r"(?U)[\s\.]"), lambda t: t != "")
-    order = F.transform(tokens, lambda t, i: F.struct((-F.length(t)).alias("n"), i.alias("i"), t.alias("t")))
-    t = F.transform(F.array_sort(order), lambda s: s["t"])
-    first = F.concat(F.initcap(F.get(t, F.lit(0))), F.lit(" "))
-    initial = lambda i: F.when(F.length(F.get(t, F.lit(i))) == 1, F.concat(F.upper(F.get(t, F.lit(i))), F.lit("."))).otherwise(F.get(t, F.lit(i)))
-    return (
-        F.when(F.size(t) == 3, F.concat(first, initial(1), initial(2))).when(F.size(t) == 2, F.concat(first, F.get(t, F.lit(1))))
-        .when(F.size(t) == 1, F.get(t, F.lit(0))).otherwise(row)
-    )
+
+    def cleaned(bare: Column) -> Column:
+        clean = bound(stripped(F.regexp_replace(bare, r"(?U)[^\w\s\.]", "")), lambda c: F.when(c != "", c).otherwise(bare))
+        return F.regexp_replace(clean, r"(?U)\s+", " ")
+
+    def ordered(row: Column) -> Column:
+        tokens = F.filter(F.split(row, r"(?U)[\s\.]"), lambda t: t != "")
+        order = F.transform(tokens, lambda t, i: F.struct((-F.length(t)).alias("n"), i.alias("i"), t.alias("t")))
+        return bound(F.transform(F.array_sort(order), lambda s: s["t"]), lambda t: joined(t, row))
+
+    def joined(t: Column, row: Column) -> Column:
+        first = F.concat(F.initcap(F.get(t, F.lit(0))), F.lit(" "))
+        initial = lambda i: F.when(F.length(F.get(t, F.lit(i))) == 1, F.concat(F.upper(F.get(t, F.lit(i))), F.lit("."))).otherwise(F.get(t, F.lit(i)))
+        return (
+            F.when(F.size(t) == 3, F.concat(first, initial(1), initial(2))).when(F.size(t) == 2, F.concat(first, F.get(t, F.lit(1))))
+            .when(F.size(t) == 1, F.get(t, F.lit(0))).otherwise(row)
+        )
+
+    return bound(bound(bare, cleaned), ordered)
 
 
 INITIALS_FIRST = rf"\b{MIXED_UPPER}\.\s{{0,8}}[А-Я]\.\s{{0,8}}{MIXED_UPPER}{MIXED_ANY}{{2,34}}"
@@ -156,14 +181,17 @@ def format_fullname(text: Column, initials_first: bool = True) -> Column:
     A name is found inside longer texts, too; the words around it are left out. A capital letter behind a small one
     begins a word. A surname behind initials goes on to the end of its word, beyond the letters of the pattern (ё).
     """
-    text = F.regexp_replace(text, "([а-я])([А-Я])", "$1 $2")
     front = rf"(?U)\b({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.\s{{0,8}}({MIXED_UPPER}{MIXED_ANY}{{2,34}}\w*)"
     back = rf"(?U)\b([А-Я][а-я]{{2,34}})\s{{0,8}}({MIXED_UPPER})\.\s{{0,8}}([А-Я])\.?"
-    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
     shape = "%s.%s. %s" if initials_first else "%3$s %1$s.%2$s."
-    of = {front: F.format_string(shape, *[part(front, i) for i in (1, 2, 3)]), back: F.format_string(shape, *[part(back, i) for i in (2, 3, 1)])}
     one, other = (front, back) if initials_first else (back, front)
-    return F.when(text.rlike(one), of[one]).when(text.rlike(other), of[other]).otherwise(text)
+
+    def formatted(text: Column) -> Column:
+        part = lambda pattern, i: F.regexp_extract(text, pattern, i)
+        of = {front: F.format_string(shape, *[part(front, i) for i in (1, 2, 3)]), back: F.format_string(shape, *[part(back, i) for i in (2, 3, 1)])}
+        return F.when(text.rlike(one), of[one]).when(text.rlike(other), of[other]).otherwise(text)
+
+    return bound(F.regexp_replace(text, "([а-я])([А-Я])", "$1 $2"), formatted)
 
 
 def without_placeholder(text: Column) -> Column:
