@@ -184,3 +184,16 @@ def test_case_islands_of_odd_lists(spark):
     rows = [(1, ["AB", "CD", "xx", "yy", "", "EF"]), (2, []), (3, None), (4, ["a"]), (5, ["A"] * 300 + ["b"] * 300)]
     got = {r.i: r.o for r in spark.createDataFrame(rows, "i int, l array<string>").select("i", layout.case_islands(F.col("l")).alias("o")).collect()}
     assert got == {1: ["AB CD", "xx yy ", "EF"], 2: [], 3: None, 4: ["a"], 5: [" ".join("A" * 300), " ".join("b" * 300)]}
+
+
+def test_dates_and_names_are_worked_out_once(spark):
+    """What is used more than once is bound, not written out again in each place."""
+    from pyspark.sql import functions as F
+
+    from quillspark.functions import dates as D
+    from quillspark.functions import text as T
+
+    df = spark.createDataFrame([("Иванов И. П.",)], "t string")
+    plan = lambda c: df.select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(D.rendered(D.dated(D.find_date(F.col("t"))["text"], F.lit(False)))).count("regexp_extract(") <= 20
+    assert plan(T.clean_signer(F.col("t"))).count("regexp_replace(") <= 10
