@@ -87,3 +87,23 @@ def test_truncation(spark):
 def test_trie():
     trie = truncation.Trie(["ab", "abcd", "c", "bcde"])
     assert trie.cut("abcde") == [4, 1] and trie.cut("abce") == [2, 1, 1] and trie.cut("xbcde") == [1, 4] and trie.cut("") == []
+
+
+def test_forest_works_out_few_rows_and_those_once(spark):
+    from pyspark.sql import functions as F
+
+    from quillspark.operators import block_model
+
+    made = spark.sparkContext.accumulator(0)
+
+    def value(i):
+        made.add(1)
+        return float(i % 7)
+
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.udf(value, "double")("id").alias("f"), F.when(F.col("id") % 7 == 3, "a").otherwise("other").alias("target"))
+    for most, times in ((10_000, 1.1), (400, 0.4)):
+        made.value = 0
+        model = block_model.fit(rows, "a", ("f",), trees=3, most=most)
+        assert 0 < made.value <= times * 4000, made.value
+        told = block_model.scored(rows.where("doc_id < 70"), model, ("f",))
+        assert told.where("(proba > 0.5) <> (target = 'a')").count() == 0
