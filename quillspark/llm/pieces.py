@@ -29,13 +29,15 @@ SPACE = "▁"
 DROPOUT, SEED = 0.1, 20_240_501
 #: Draws of a word that are held against the function segment, one by one; texts draw from 64 bits.
 VARIANTS = 4
-#: A worker forgets the words it has met when it knows so many, or so many ids or choices of them: about 0.5 GB a worker,
-#: and 0.1 GB less with SMALL, for which words are segmented more often.
+#: A worker forgets the words it has met when it knows so many, or so many ids or choices of them; with SMALL it keeps
+#: half of that, and words are segmented more often.
 KNOWN, SMALL = (500_000, 4_000_000), (250_000, 2_000_000)
 #: Words of more bytes have no tree when there is dropout: hardly two occurrences would go the same way.
 TREE_BYTES = 64
-#: Words of up to so many characters are segmented together with those that fit the same width.
-WIDTHS = (9, 13, 20, 40)
+#: Words of up to so many characters are segmented together with those that fit the same width, so many at once.
+WIDTHS, ROWS = (9, 13, 20, 40), 8192
+#: In place of the way of a skipped candidate, at an end of a tree.
+END = -2
 PLACE, BASE = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15
 M64 = (1 << 64) - 1
 
@@ -200,7 +202,9 @@ class Growing:
         """Where the values begin."""
         at, self.size = self.size, self.size + len(values)
         if self.size > len(self.room):
-            self.room = np.concatenate([self.room[:at], np.zeros(max(self.size, 2 * at) - at, self.room.dtype)])
+            room = np.empty(max(self.size, 2 * at), self.room.dtype)  # what is not filled yet takes no memory
+            room[:at] = self.room[:at]
+            self.room = room
         self.room[at : self.size] = values
         return at
 
@@ -209,7 +213,7 @@ class Encoder:
     """Encodes texts; keeps a tree of choices for each word met so far, and their segmentations in a pool of ids.
 
     A node of a tree is a choice (its code, and the nodes that follow if the candidate is taken or skipped, -1 while
-    nobody went there) or an end, with the place and number of its ids in the pool.
+    nobody went there) or an end: the place of its ids in the pool, their number, and END.
     """
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, room: tuple[int, int] = KNOWN):
@@ -218,9 +222,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known, self.roots = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes of words, sorted, and their trees' first nodes
         self.ids, self.code, self.next = Growing(np.int32), Growing(np.uint64), Growing(np.int32)
-        self.at, self.n = Growing(np.int64), Growing(np.int32)  # n is -1 for a choice
 
     @property
     def pool(self) -> np.ndarray:
@@ -236,8 +239,8 @@ class Encoder:
         keys = self.keys(draws)
         plain = np.zeros(len(units), bool)
         parts, n, order, codes, skips, made = [], [], [], [], [], []
-        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            rows = np.flatnonzero((sizes > low) & (sizes <= width))
+        fits = [(np.flatnonzero((sizes > low) & (sizes <= width)), width) for low, width in zip((0, *WIDTHS), WIDTHS, strict=False)]
+        for rows, width in ((rows[i : i + ROWS], width) for rows, width in fits for i in range(0, max(len(rows), 1), ROWS)):
             chars = np.array([units[i] for i in rows], f"U{width}").view(np.uint32).reshape(-1, width)
             ids = np.where(chars > 0, self.tables.of_char[chars], -1)
             good = (ids >= 0).sum(axis=1) == sizes[rows]  # all characters are pieces, none is NUL
@@ -260,20 +263,21 @@ class Encoder:
         total = int(last[-1]) + 1
         end = np.zeros(total, bool)
         end[last] = True
-        place, count = np.zeros(total, np.int64), np.full(total, -1, np.int32)
-        place[last], count[last] = at, n
         code, turn = np.zeros(total, np.uint64), np.full((total, 2), -1, np.int32)
+        code[last], turn[last, 0], turn[last, 1] = at, n, END
         code[~end] = gathered(np.concatenate(codes), begin, kept)
         base = self.code.add(code)
         inner = np.flatnonzero(~end)
         turn[inner, gathered(skips, begin, kept).astype(np.int64)] = base + inner + 1
         self.next.add(turn.ravel())
-        self.at.add(place)
-        self.n.add(count)
         first = np.zeros(len(units), np.int64)
         first[order] = base + last - kept
         return first
 
+    def open_(self, nodes: np.ndarray) -> np.ndarray:
+        """Which nodes are choices."""
+        return self.next.room[2 * nodes + 1] != END
+
     def encode(self, data: np.ndarray, offsets: np.ndarray, streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that all begin with the space that the model adds, and where each text's ids begin and end."""
         if len(self.known) > self.most[0] or max(self.ids.size, self.code.size) > self.most[1]:
@@ -296,18 +300,21 @@ class Encoder:
         node = np.zeros(len(starts), np.int64)
         distinct, where, which = np.unique(hashes[~single], return_index=True, return_inverse=True)
         where = np.flatnonzero(~single)[where]
-        names = distinct.tolist()
-        roots = np.array([self.known.get(k, -1) for k in names], np.int64)
-        new = np.flatnonzero(roots < 0)
+        at = np.searchsorted(self.known, distinct)
+        met = at < len(self.known)
+        met[met] = self.known[at[met]] == distinct[met]
+        roots = np.zeros(len(distinct), np.int64)
+        roots[met] = self.roots[at[met]]
+        new = np.flatnonzero(~met)
         if len(new):
             roots[new] = self.learn(words(where[new]), draws[where[new]])
-            self.known.update((names[i], int(roots[i])) for i in new)
+            self.known, self.roots = np.insert(self.known, at[new], distinct[new]), np.insert(self.roots, at[new], roots[new])
         node[~single] = roots[which]
         if single.any():
             at = np.flatnonzero(single)
             node[at] = self.learn(words(at), draws[at], 1 << 60)
         keys, done = self.keys(draws), 0
-        active = np.flatnonzero(self.n.room[node] < 0)
+        active = np.flatnonzero(self.open_(node))
         while len(active):
             skip = mixed(keys[active] ^ self.code.room[node[active]]) < np.uint64(self.bar)
             turn, done = 2 * node[active] + skip, done + 1
@@ -319,9 +326,9 @@ class Encoder:
                 self.next.room[way] = found
                 after[lost] = self.next.room[turn[lost]]
             node[active] = after
-            active = active[self.n.room[after] < 0]
-        n = self.n.room[node].astype(np.int64)
-        return gathered(self.pool, self.at.room[node], n), np.append(0, np.cumsum(n))[begin]
+            active = active[self.open_(after)]
+        n = self.next.room[2 * node].astype(np.int64)
+        return gathered(self.pool, self.code.room[node].astype(np.int64), n), np.append(0, np.cumsum(n))[begin]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """UTF-8 bytes of ids; those of a text begin with the space that encoding added."""
