@@ -663,3 +663,14 @@ def test_line_dedup_meets_in_rounds(spark, monkeypatch):
     got = {r.doc_id: r.group_doc for r in line_dedup.judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: 0 if i < 10 else 10 for i, _ in rows}
     assert met[0] == 100 and sum(met[1:]) < 1500, met
+
+
+def test_line_dedup_strays_meet_once(spark):
+    """Lines that share several keys are one compared pair, not one for each key; none is lost."""
+    kind = "key bigint, h bigint, size int, c bigint, stray boolean, low int, high int, turn int, keys array<bigint>"
+    lines = {1: [10, 11, 12, 13], 2: [10, 11, 12, 13], 3: [11, 13], 4: [13], 5: [12, 10]}
+    rows = [(key, h, 40, 1 if h == 5 else h, h not in (1, 5), 0, 40, 2, keys) for h, keys in lines.items() for key in keys]
+    got = sorted((r.h_a, r.h_b, r.c_a, r.c_b) for r in line_dedup._met(2, spark.createDataFrame(rows, kind)).collect())
+    want = [(a, b) for a in lines for b in lines if a < b and set(lines[a]) & set(lines[b]) and (a, b) != (1, 5)]
+    assert got == [(a, b, 1 if a == 5 else a, 1 if b == 5 else b) for a, b in want]
+    assert not line_dedup._met(1, spark.createDataFrame(rows, kind)).count()
