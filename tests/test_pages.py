@@ -130,3 +130,10 @@ def test_curve_has_no_frame_to_the_end(spark):
     out = detection.curve(rows, spark.createDataFrame([("a", 4)], "cls string, positives long"))
     assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
     assert {r.score: round(r.envelope, 6) for r in out.collect()} == {0.9: 1.0, 0.8995: 0.75, 0.8991: 0.75, 0.1: 0.75}
+
+
+def test_rectangles_apart_have_no_ratio(spark):
+    """Rectangles of a page whose distances across and up multiply to the sum of their areas; of ratios only those of overlapping ones are asked for."""
+    page = spark.createDataFrame([(k, 1, i, "text", 0.5, *c) for k in range(20) for i, c in enumerate([(0.0, 0.0, 2.0, 2.0), (4.0, 6.0, 6.0, 8.0)])], BOX)
+    found = detection.matched(page, page, 0.25).select("doc_id", "box_id", "matched_id", "iou").collect()
+    assert len(found) == 40 and all(r.matched_id == r.box_id and r.iou == 1.0 for r in found)
