@@ -107,3 +107,15 @@ def test_forest_works_out_few_rows_and_those_once(spark):
         assert 0 < made.value <= times * 4000, made.value
         told = block_model.scored(rows.where("doc_id < 70"), model, ("f",))
         assert told.where("(proba > 0.5) <> (target = 'a')").count() == 0
+
+
+def test_forest_learns_from_all_rows(spark):
+    """What only the documents of the last hashes have is learned, too, however many there are."""
+    from quillspark.operators import block_model
+
+    rows = spark.range(200_500).select(F.col("id").alias("doc_id"), F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("place"))
+    last = [r.doc_id for r in rows.orderBy(F.col("place").desc()).limit(300).collect()]
+    rows = rows.select("doc_id", F.col("doc_id").isin(last).cast("double").alias("f")).withColumn("target", F.when(F.col("f") == 1, "a").otherwise("other"))
+    model = block_model.fit(rows, "a", ("f",), trees=3)
+    told = block_model.scored(rows, model, ("f",)).groupBy("f").agg(F.min("proba").alias("low"), F.max("proba").alias("high"))
+    assert {r.f: (r.low, r.high) for r in told.collect()} == {0.0: (0.0, 0.0), 1.0: (1.0, 1.0)}
